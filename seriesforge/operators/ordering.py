@@ -6,8 +6,10 @@ task) give each bucket its offset, and rows are ordered only inside a bucket.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,8 +29,9 @@ def row_index(df: DataFrame, spec: SeriesSpec, name: str = "row_index") -> DataF
         window = Window.partitionBy(*spec.keys).orderBy(*spec.order)
         return df.withColumn(name, F.row_number().over(window) - F.lit(1))
 
-    bucketed = df.withColumn("_bucket", F.date_trunc(spec.bucket, F.col(spec.time).cast("timestamp")))
-    bucketed = bucketed.withColumn("_sub", _tie_bucket(df, spec))
+    bucketed = _with_tie_bucket(df, spec).withColumn(
+        "_bucket", F.date_trunc(spec.bucket, F.col(spec.time).cast("timestamp"))
+    )
     cell = [*spec.keys, "_bucket", "_sub"]
     before = Window.partitionBy(*spec.keys).orderBy("_bucket", "_sub")
     offsets = (
@@ -48,14 +51,25 @@ def row_index(df: DataFrame, spec: SeriesSpec, name: str = "row_index") -> DataF
     )
 
 
-def _tie_bucket(df: DataFrame, spec: SeriesSpec) -> Column:
-    """Equal-width, order-preserving slices of the first tie column."""
+def _with_tie_bucket(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Add ``_sub``: equal-width, order-preserving slices of the first tie column."""
     if spec.tie_splits == 1:
-        return F.lit(0)
+        return df.withColumn("_sub", F.lit(0))
     tie = spec.tie[0]
-    bounds = df.agg(F.struct(F.min(tie).alias("low"), F.max(tie).alias("high"))).scalar()
-    width = (bounds["high"] - bounds["low"] + F.lit(1)) / F.lit(spec.tie_splits)
-    return F.least(F.floor((F.col(tie) - bounds["low"]) / width), F.lit(spec.tie_splits - 1)).cast("int")
+    bounds = df.agg(F.struct(F.min(tie).alias("low"), F.max(tie).alias("high")))
+    low, high = F.col("_bounds.low"), F.col("_bounds.high")
+    width = (high - low + F.lit(1)) / F.lit(spec.tie_splits)
+    sub = F.least(F.floor((F.col(tie) - low) / width), F.lit(spec.tie_splits - 1)).cast("int")
+    return with_scalar(df, bounds, "_bounds").withColumn("_sub", sub).drop("_bounds")
+
+
+def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
+    """Attach a one-row, one-column aggregate as a column, by a scalar subquery.
+
+    Referring to the column keeps the subquery single in the plan, however many
+    expressions use it.
+    """
+    return df.withColumn(name, one_row.scalar())
 
 
 def with_series_windows(
@@ -82,20 +96,23 @@ def with_series_windows(
     )
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], buckets: int) -> Column:
-    """Scalar struct: per column, up to ``buckets - 1`` values that split it evenly.
+def with_buckets(df: DataFrame, columns: dict[str, str], buckets: int = 512) -> DataFrame:
+    """Add order-preserving bucket ids; ``columns`` maps a value column to the name of its bucket.
 
-    The sketch behind it is merged map-side and of fixed size.  Cut points only
-    balance the work; results do not depend on them.
+    The bucket borders come from a quantile sketch of fixed size, fetched in one
+    small action (at most ``buckets`` numbers per column).  They only balance the
+    work: no result depends on them.
     """
-    shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    sketches = [F.percentile_approx(F.col(c), shares, F.lit(10 * buckets)).alias(c) for c in columns]
-    return df.agg(F.struct(*sketches)).scalar()
-
-
-def bucket_of(value: Column, cuts: Column) -> Column:
-    """Number of cut points below ``value``: an order-preserving bucket id."""
-    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut < value)), F.lit(0))
+    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    sketches = [
+        F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({shares}), {10 * buckets})").alias(c) for c in columns
+    ]
+    row = df.agg(*sketches).first()
+    borders = [[-math.inf, *sorted(set(row[c] or [0.0])), math.inf] for c in columns]
+    bucketizer = Bucketizer(
+        splitsArray=borders, inputCols=list(columns), outputCols=list(columns.values()), handleInvalid="keep"
+    )
+    return bucketizer.transform(df)
 
 
 def running_totals(
@@ -103,15 +120,14 @@ def running_totals(
     groups: Sequence[str],
     order: str,
     sums: Sequence[str],
-    buckets: int = 128,
+    buckets: int = 512,
     descending: bool = False,
 ) -> DataFrame:
     """For rows distinct in (groups, order): totals of ``sums`` before each row, as ``<sum>_before``.
 
     Group totals are returned as ``<sum>_total``.
     """
-    cuts = cut_points(df, [order], buckets)[order]
-    bucketed = df.withColumn("_bucket", bucket_of(F.col(order), cuts))
+    bucketed = with_buckets(df, {order: "_bucket"}, buckets)
     return prefix_totals(bucketed, groups, order, sums, descending).drop("_bucket")
 
 
@@ -134,7 +150,7 @@ def prefix_totals(
 def bucket_totals(
     bucketed: DataFrame, groups: Sequence[str], sums: Sequence[str], descending: bool = False
 ) -> DataFrame:
-    """Per (groups, bucket): ``_off_<sum>`` of earlier buckets and ``<sum>_total`` of the group."""
+    """Per (groups, bucket): ``_in_<sum>``, ``_off_<sum>`` of earlier buckets, ``<sum>_total`` of the group."""
     earlier = (
         Window.partitionBy(*groups)
         .orderBy(F.col("_bucket").desc() if descending else F.col("_bucket").asc())
@@ -142,7 +158,7 @@ def bucket_totals(
     )
     whole = Window.partitionBy(*groups)
     totals = bucketed.groupBy(*groups, "_bucket").agg(*[F.sum(s).alias(f"_in_{s}") for s in sums])
-    columns = []
+    columns = [F.col(f"_in_{s}") for s in sums]
     for s in sums:
         columns.append((F.sum(f"_in_{s}").over(earlier) - F.col(f"_in_{s}")).alias(f"_off_{s}"))
         columns.append(F.sum(f"_in_{s}").over(whole).alias(f"{s}_total"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesforge.operators.ordering import with_scalar
 from seriesforge.operators.quality import unpivot_row
 from seriesforge.operators.statistics import percentiles
 
@@ -14,11 +15,15 @@ MILD_REACH = 1.5
 EXTREME_REACH = 3.0
 
 
-def _quartile_struct(df: DataFrame, columns: Sequence[str]) -> Column:
-    """One-row struct ``{column: {q1, q3}}`` as a scalar subquery."""
+def _with_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``_quartiles``: a struct with the array [q1, q3] of each column."""
     quartiles = percentiles(df, [], columns, (0.25, 0.75))
     fields = [F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in columns]
-    return quartiles.agg(F.struct(*fields)).scalar()
+    return with_scalar(df, quartiles.agg(F.struct(*fields)), "_quartiles")
+
+
+def _bounds(column: str) -> tuple[Column, Column]:
+    return F.col("_quartiles")[column][0], F.col("_quartiles")[column][1]
 
 
 def _flag(value: Column, q1: Column, q3: Column) -> Column:
@@ -29,8 +34,8 @@ def _flag(value: Column, q1: Column, q3: Column) -> Column:
 
 def flag_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_flag``: ok, mild (beyond 1.5 IQR) or extreme (beyond 3 IQR)."""
-    bounds = _quartile_struct(df, columns)
-    return df.withColumns({f"{c}_flag": _flag(F.col(c), bounds[c][0], bounds[c][1]) for c in columns})
+    flags = {f"{c}_flag": _flag(F.col(c), *_bounds(c)) for c in columns}
+    return _with_quartiles(df, columns).withColumns(flags).drop("_quartiles")
 
 
 def flag_outliers_by_group(df: DataFrame, keys: Sequence[str], column: str, bounded: bool = True) -> DataFrame:
@@ -57,12 +62,11 @@ def outlier_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def treat_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Cap mild outliers at the 1.5 IQR bounds and drop rows with an extreme one."""
-    bounds = _quartile_struct(df, columns)
     keep = F.lit(True)
     capped = {}
     for c in columns:
-        q1, q3 = bounds[c][0], bounds[c][1]
+        q1, q3 = _bounds(c)
         low, high = q1 - (q3 - q1) * MILD_REACH, q3 + (q3 - q1) * MILD_REACH
         keep = keep & F.coalesce(_flag(F.col(c), q1, q3) != "extreme", F.lit(True))
         capped[c] = F.when(F.col(c) < low, low).when(F.col(c) > high, high).otherwise(F.col(c))
-    return df.filter(keep).withColumns(capped)
+    return _with_quartiles(df, columns).filter(keep).withColumns(capped).drop("_quartiles")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.operators.ordering import bucket_of, bucket_totals, cut_points
+from seriesforge.operators.ordering import bucket_totals, with_buckets, with_scalar
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -28,7 +28,7 @@ def percentiles(
     columns: Sequence[str],
     probabilities: Sequence[float] = QUARTILES,
     bounded: bool = False,
-    buckets: int = 128,
+    buckets: int = 512,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles: one row per (by, column) with an array ``q``.
 
@@ -43,30 +43,27 @@ def percentiles(
     if bounded:
         return melt(df, by, columns).groupBy(*by, "column").agg(_builtin(probabilities).alias("q"))
 
-    cuts = cut_points(df, columns, buckets)
+    bucket_names = {c: f"_bucket_{c}" for c in columns}
+    cut = with_buckets(df.select(*by, *columns), bucket_names, buckets)
     pairs = F.array(
         *[
             F.struct(
-                F.lit(c).alias("column"),
-                F.col(c).cast("double").alias("value"),
-                bucket_of(F.col(c), cuts[c]).alias("_bucket"),
+                F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(b).alias("_bucket")
             )
-            for c in columns
+            for c, b in bucket_names.items()
         ]
     )
-    long = df.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull())
+    long = cut.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull())
     group = [*by, "column"]
     counted = long.groupBy(*group, "_bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = bucket_totals(counted, group, ["n"]).join(
-        counted.groupBy(*group, "_bucket").agg(F.sum("n").alias("_size")), [*group, "_bucket"]
-    )
+    totals = bucket_totals(counted, group, ["n"])
 
     ranks = []
     for i, p in enumerate(probabilities):
         position = F.lit(p) * (F.col("n_total") - 1)
         ranks += [(f"_lo{i}", F.floor(position)), (f"_hi{i}", F.ceil(position))]
-    touched = [(r >= F.col("_off_n")) & (r < F.col("_off_n") + F.col("_size")) for _, r in ranks]
-    wanted = totals.filter(_any(touched)).drop("_size")
+    touched = [(r >= F.col("_off_n")) & (r < F.col("_off_n") + F.col("_in_n")) for _, r in ranks]
+    wanted = totals.filter(_any(touched)).drop("_in_n")
 
     inside = counted.join(wanted, [*group, "_bucket"])
     window = (
@@ -132,8 +129,7 @@ def box_plot(df: DataFrame, by: Sequence[str], column: str, bounded: bool = Fals
     if by:
         joined = counted.join(quartiles, by)
     else:
-        one = quartiles.select(F.struct("*")).scalar()
-        joined = counted.withColumns({n: one[n] for n in ("q1", "median", "q3")})
+        joined = with_scalar(counted, quartiles.select(F.struct("*")), "_q").select("*", "_q.*")
     return joined.groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(inside, value)).alias("whisker_low"),
         F.max(F.when(inside, value)).alias("whisker_high"),
@@ -143,10 +139,9 @@ def box_plot(df: DataFrame, by: Sequence[str], column: str, bounded: bool = Fals
 
 def histogram(df: DataFrame, column: str, bins: int = 20, by: Sequence[str] = ()) -> DataFrame:
     """Fixed-width bins between the extremes of the column; empty bins are left out."""
-    bounds = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high"))).scalar()
-    low = bounds["low"]
-    width = (bounds["high"] - low) / F.lit(bins)
-    number = F.least(F.floor(F.try_divide(F.col(column) - low, width)), F.lit(bins - 1))
+    bounds = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")))
+    low, high = F.col("_bounds.low"), F.col("_bounds.high")
+    number = F.least(F.floor(F.try_divide(F.col(column) - low, (high - low) / F.lit(bins))), F.lit(bins - 1))
     number = F.coalesce(number, F.lit(0)).cast("int")
-    present = df.filter(F.col(column).isNotNull())
+    present = with_scalar(df.filter(F.col(column).isNotNull()), bounds, "_bounds")
     return present.groupBy(*by, number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

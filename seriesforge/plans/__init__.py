@@ -5,6 +5,6 @@ from __future__ import annotations
 
 def registry():
     """All registered queries by name; importing the modules registers them."""
-    from seriesforge.plans import catalog, queries_features  # noqa: F401
+    from seriesforge.plans import catalog, queries_evaluation, queries_features, queries_quality, queries_statistics  # noqa: F401
 
     return catalog.REGISTRY
