@@ -327,15 +327,15 @@ def scale_fitted_on_train(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """SELECT n_name, replace(n_name, '_', ' ') AS plain, starts_with(n_name, 'nation_1') AS is_first,
-  contains(n_name, '2') AS has_two FROM nation"""
+    """SELECT c_custkey, replace(c_name, '#', ' ') AS plain, starts_with(c_name, 'Customer#0') AS is_first,
+  contains(c_name, '2') AS has_two FROM customer"""
 )
 def name_strings(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "nation").select(
-        "n_name",
-        F.replace(F.col("n_name"), F.lit("_"), F.lit(" ")).alias("plain"),
-        F.col("n_name").startswith("nation_1").alias("is_first"),
-        F.col("n_name").contains("2").alias("has_two"),
+    return read_table(spark, folder, "customer").select(
+        "c_custkey",
+        F.replace(F.col("c_name"), F.lit("#"), F.lit(" ")).alias("plain"),
+        F.col("c_name").startswith("Customer#0").alias("is_first"),
+        F.col("c_name").contains("2").alias("has_two"),
     )
 
 
