@@ -46,8 +46,8 @@ def linreg_1d(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _TWO_SQL = f"""{_PAST_SQL}, s AS (SELECT avg(y) AS my, avg(a) AS ma, avg(b) AS mb, covar_pop(a, a) AS aa,
-  covar_pop(b, b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS by FROM pf),
-w AS (SELECT *, (ay * bb - by * ab) / (aa * bb - ab * ab) AS wa, (by * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM s)"""
+  covar_pop(b, b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS cy FROM pf),
+w AS (SELECT *, (ay * bb - cy * ab) / (aa * bb - ab * ab) AS wa, (cy * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM s)"""
 
 
 @query(

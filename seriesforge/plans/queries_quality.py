@@ -197,8 +197,8 @@ def impute_mean_from_train(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {_GAPS}, d AS (
   SELECT q.station, q."Date", b."Temp_avg" AS donor,
          row_number() OVER (PARTITION BY q.station, q."Date" ORDER BY
-           sqrt(4.0 / 3.0 * (pow(q."Relative_Humidity" - b."Relative_Humidity", 2) + pow(q."Wind_kmh" - b."Wind_kmh", 2)
-           + pow(q."Precipitation_mm" - b."Precipitation_mm", 2))), b."Date") AS rk
+           round(sqrt(4.0 / 3.0 * (pow(q."Relative_Humidity" - b."Relative_Humidity", 2) + pow(q."Wind_kmh" - b."Wind_kmh", 2)
+           + pow(q."Precipitation_mm" - b."Precipitation_mm", 2))), 9), b."Date") AS rk
   FROM gaps q JOIN gaps b ON q.station = b.station AND b."Temp_avg" IS NOT NULL WHERE q."Temp_avg" IS NULL),
 f AS (SELECT station, "Date", avg(donor) AS filled FROM d WHERE rk <= 5 GROUP BY 1, 2)
 SELECT g.station, g."Date", {dbl('coalesce(g."Temp_avg", f.filled)', 'Temp_avg')}, {dbls('Relative_Humidity', 'Wind_kmh', TARGET)}

@@ -16,8 +16,11 @@ MONDAY_OFFSET = "4 days"  # windows count from a Thursday
 
 
 def read_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet path as a stream, with the schema of the files already there."""
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """A parquet file or folder as a stream, with the schema of the files already there.
+
+    The pattern form of the path also accepts a single file, which a stream otherwise rejects.
+    """
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
 
 
 def weekly_stream(
