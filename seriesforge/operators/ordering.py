@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -96,23 +97,38 @@ def with_series_windows(
     )
 
 
-def with_buckets(df: DataFrame, columns: dict[str, str], buckets: int = 512) -> DataFrame:
-    """Add order-preserving bucket ids; ``columns`` maps a value column to the name of its bucket.
+@dataclass(frozen=True)
+class Borders:
+    """Bucket borders per column, and about how many groups the rows form."""
 
-    The bucket borders come from a quantile sketch of fixed size, fetched in one
-    small action (at most ``buckets`` numbers per column).  They only balance the
-    work: no result depends on them.
+    splits: dict[str, list[float]]
+    groups: int
+
+    def apply(self, df: DataFrame, names: dict[str, str]) -> DataFrame:
+        """Add order-preserving bucket ids; ``names`` maps a value column to its bucket column."""
+        bucketizer = Bucketizer(
+            splitsArray=[self.splits[c] for c in names],
+            inputCols=list(names),
+            outputCols=list(names.values()),
+            handleInvalid="keep",
+        )
+        return bucketizer.transform(df)
+
+
+def bucket_borders(df: DataFrame, columns: Sequence[str], buckets: int = 512, by: Sequence[str] = ()) -> Borders:
+    """Values that split each column into about equal shares, and the number of groups.
+
+    One small action over sketches of fixed size fetches at most ``buckets``
+    numbers per column.  Borders only balance the work: no result depends on them.
     """
     shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     sketches = [
         F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({shares}), {10 * buckets})").alias(c) for c in columns
     ]
-    row = df.agg(*sketches).first()
-    borders = [[-math.inf, *sorted(set(row[c] or [0.0])), math.inf] for c in columns]
-    bucketizer = Bucketizer(
-        splitsArray=borders, inputCols=list(columns), outputCols=list(columns.values()), handleInvalid="keep"
-    )
-    return bucketizer.transform(df)
+    groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
+    row = df.agg(*sketches, groups.alias("_groups")).first()
+    splits = {c: [-math.inf, *sorted(set(row[c] or [0.0])), math.inf] for c in columns}
+    return Borders(splits, int(row["_groups"]))
 
 
 def running_totals(
@@ -127,7 +143,7 @@ def running_totals(
 
     Group totals are returned as ``<sum>_total``.
     """
-    bucketed = with_buckets(df, {order: "_bucket"}, buckets)
+    bucketed = bucket_borders(df, [order], buckets).apply(df, {order: "_bucket"})
     return prefix_totals(bucketed, groups, order, sums, descending).drop("_bucket")
 
 

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.operators.ordering import bucket_totals, with_buckets, with_scalar
+from seriesforge.operators.ordering import bucket_borders, bucket_totals, with_scalar
 
 QUARTILES = (0.25, 0.5, 0.75)
+BROADCAST_ROWS = 100_000
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -34,38 +35,39 @@ def percentiles(
 
     ``bounded=True`` promises groups that fit a task (a series of weeks, say) and
     uses the built-in aggregate, which keeps a group's distinct values in memory.
-    Otherwise no group is ever brought together: equal values are counted first,
-    the counts are totalled per value bucket, the totals tell which buckets hold
-    the wanted ranks, and only those buckets are ordered.
+    Otherwise no group is ever brought together: values are counted per bucket,
+    the running counts tell which buckets hold the wanted ranks, and only the
+    values of those buckets are shuffled and ordered.
     """
     by = list(by)
     probabilities = list(probabilities)
     if bounded:
         return melt(df, by, columns).groupBy(*by, "column").agg(_builtin(probabilities).alias("q"))
 
-    bucket_names = {c: f"_bucket_{c}" for c in columns}
-    cut = with_buckets(df.select(*by, *columns), bucket_names, buckets)
+    borders = bucket_borders(df, columns, buckets, by)
+    names = {c: f"_bucket_{c}" for c in columns}
     pairs = F.array(
         *[
-            F.struct(
-                F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(b).alias("_bucket")
-            )
-            for c, b in bucket_names.items()
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(b).alias("_bucket"))
+            for c, b in names.items()
         ]
     )
-    long = cut.select(*by, F.inline(pairs)).filter(F.col("value").isNotNull())
+    long = borders.apply(df.select(*by, *columns), names).select(*by, F.inline(pairs), F.lit(1).alias("n"))
+    long = long.filter(F.col("value").isNotNull())
     group = [*by, "column"]
-    counted = long.groupBy(*group, "_bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = bucket_totals(counted, group, ["n"])
 
     ranks = []
     for i, p in enumerate(probabilities):
         position = F.lit(p) * (F.col("n_total") - 1)
         ranks += [(f"_lo{i}", F.floor(position)), (f"_hi{i}", F.ceil(position))]
     touched = [(r >= F.col("_off_n")) & (r < F.col("_off_n") + F.col("_in_n")) for _, r in ranks]
-    wanted = totals.filter(_any(touched)).drop("_in_n")
+    wanted = bucket_totals(long, group, ["n"]).filter(_any(touched)).drop("_in_n")
+    # At most two buckets per group, column and probability are wanted.
+    if borders.groups * len(columns) * len(ranks) <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
 
-    inside = counted.join(wanted, [*group, "_bucket"])
+    keep = [*group, "_bucket", "_off_n", "n_total"]
+    inside = long.join(wanted, [*group, "_bucket"]).groupBy(*keep, "value").agg(F.sum("n").alias("n"))
     window = (
         Window.partitionBy(*group, "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
