@@ -74,16 +74,16 @@ def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
 
 
 def with_series_windows(
-    df: DataFrame, spec: SeriesSpec, horizon: int, build: Callable[[Window], Sequence[Column]]
+    df: DataFrame, spec: SeriesSpec, horizon: int, build: Callable[[Window], dict[str, Column]]
 ) -> DataFrame:
-    """Add the window columns ``build(window)`` that look back at most ``horizon`` rows.
+    """Add (or replace) the columns ``build(window)``, which look back at most ``horizon`` rows.
 
     All columns share one window, hence one shuffle and one sort.  For unbounded
     series each block also receives the last ``horizon`` rows of the block before
     it; these halo rows feed the windows and are dropped afterwards.
     """
     if spec.one_task_per_series:
-        return df.select("*", *build(Window.partitionBy(*spec.keys).orderBy(*spec.order)))
+        return df.withColumns(build(Window.partitionBy(*spec.keys).orderBy(*spec.order)))
 
     size = max(spec.block_rows, horizon, 1)
     home = F.expr(f"_position div {size}")
@@ -91,7 +91,7 @@ def with_series_windows(
     blocked = row_index(df, spec, "_position").withColumn("_block", F.explode(homes))
     window = Window.partitionBy(*spec.keys, "_block").orderBy("_position")
     return (
-        blocked.select("*", *build(window))
+        blocked.withColumns(build(window))
         .filter(F.col("_block") == home)
         .drop("_position", "_block")
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.operators.ordering import with_series_windows
+from seriesforge.operators.ordering import with_scalar, with_series_windows
 from seriesforge.specs import Derived, FeatureSpec, SeriesSpec
 
 
@@ -16,7 +16,7 @@ def _frame(window, size: int, exclude_current: bool):
 
 
 def lag_column(window, d: Derived) -> Column:
-    return F.lag(d.source, d.size).over(window).alias(d.name)
+    return F.lag(d.source, d.size).over(window)
 
 
 def average_column(window, d: Derived, partial: bool = False, exclude_current: bool = False) -> Column:
@@ -25,13 +25,13 @@ def average_column(window, d: Derived, partial: bool = False, exclude_current: b
     average = F.avg(d.source).over(frame)
     if not partial:
         average = F.when(F.count(d.source).over(frame) == d.size, average)
-    return average.alias(d.name)
+    return average
 
 
 def deviation_column(window, d: Derived, exclude_current: bool = False) -> Column:
     """Rolling sample standard deviation over full windows."""
     frame = _frame(window, d.size, exclude_current)
-    return F.when(F.count(d.source).over(frame) == d.size, F.stddev_samp(d.source).over(frame)).alias(d.name)
+    return F.when(F.count(d.source).over(frame) == d.size, F.stddev_samp(d.source).over(frame))
 
 
 def window_features(
@@ -50,11 +50,10 @@ def window_features(
     """
     wanted = FeatureSpec(tuple(lags), tuple(averages), tuple(deviations))
 
-    def build(window) -> list[Column]:
-        columns = [lag_column(window, d) for d in lags]
-        columns += [average_column(window, d, partial, exclude_current) for d in averages]
-        columns += [deviation_column(window, d, exclude_current) for d in deviations]
-        return columns
+    def build(window) -> dict[str, Column]:
+        columns = {d.name: lag_column(window, d) for d in lags}
+        columns |= {d.name: average_column(window, d, partial, exclude_current) for d in averages}
+        return columns | {d.name: deviation_column(window, d, exclude_current) for d in deviations}
 
     return with_series_windows(df, spec, wanted.horizon + int(exclude_current), build)
 
@@ -66,21 +65,27 @@ def difference(df: DataFrame, spec: SeriesSpec, column: str, order: int = 1) ->
     """
     name = f"{column}_diff_{order}"
 
-    def build(window) -> list[Column]:
+    def build(window) -> dict[str, Column]:
         terms, weight = [], 1
         for k in range(order + 1):
             terms.append(F.lit(float(weight)) * (F.lag(column, k).over(window) if k else F.col(column)))
             weight = -weight * (order - k) // (k + 1)
-        return [sum(terms[1:], terms[0]).alias(name)]
+        return {name: sum(terms[1:], terms[0])}
 
     return with_series_windows(df, spec, order, build)
 
 
-def group_mean(df: DataFrame, spec: SeriesSpec, column: str) -> Column:
-    """Mean of a column per series (bounded series) or over all rows (no keys)."""
+def with_series_mean(df: DataFrame, spec: SeriesSpec, column: str, name: str) -> DataFrame:
+    """Add the mean of a column over its series, or over all rows where there are no keys.
+
+    Bounded series share the shuffle of their windows; unbounded ones are
+    averaged with partial aggregation and joined back.
+    """
     if not spec.keys:
-        return df.agg(F.avg(column)).scalar()
-    return F.avg(column).over(Window.partitionBy(*spec.keys))
+        return with_scalar(df, df.agg(F.avg(column)), name)
+    if spec.regular:
+        return df.withColumn(name, F.avg(column).over(Window.partitionBy(*spec.keys)))
+    return df.join(df.groupBy(*spec.keys).agg(F.avg(column).alias(name)), list(spec.keys))
 
 
 def autocorrelation(df: DataFrame, spec: SeriesSpec, column: str, max_lag: int) -> DataFrame:
@@ -90,9 +95,9 @@ def autocorrelation(df: DataFrame, spec: SeriesSpec, column: str, max_lag: int)
     """
     keys = list(spec.keys)
     base = df.select(*keys, *spec.order, column)
-    centred = base.withColumn("_c", F.col(column) - group_mean(base, spec, column))
+    centred = with_series_mean(base, spec, column, "_mean").withColumn("_c", F.col(column) - F.col("_mean"))
     lagged = with_series_windows(
-        centred, spec, max_lag, lambda w: [F.lag("_c", k).over(w).alias(f"_c{k}") for k in range(1, max_lag + 1)]
+        centred, spec, max_lag, lambda w: {f"_c{k}": F.lag("_c", k).over(w) for k in range(1, max_lag + 1)}
     )
     products = [F.sum(F.col("_c") * F.col(f"_c{k}")).alias(f"_g{k}") for k in range(1, max_lag + 1)]
     sums = lagged.groupBy(*keys).agg(F.sum(F.col("_c") * F.col("_c")).alias("_g0"), *products)

@@ -251,9 +251,8 @@ def interaction_bundle(spark: SparkSession, folder: str) -> DataFrame:
   {dbl(f'"{TEMPERATURE}" - avg("{TEMPERATURE}") OVER (PARTITION BY station)', 'temp_deviation')} FROM weekly"""
 )
 def mean_deviation_by_series(spark: SparkSession, folder: str) -> DataFrame:
-    frame = weekly_weather(spark, folder)
-    deviation = F.col(TEMPERATURE) - windows.group_mean(frame, WEEKLY, TEMPERATURE)
-    return frame.select("station", "Date", deviation.alias("temp_deviation"))
+    frame = windows.with_series_mean(weekly_weather(spark, folder), WEEKLY, TEMPERATURE, "_mean")
+    return frame.select("station", "Date", (F.col(TEMPERATURE) - F.col("_mean")).alias("temp_deviation"))
 
 
 @query(
