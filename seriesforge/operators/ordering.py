@@ -10,12 +10,16 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesforge.specs import SeriesSpec
 
+BROADCAST_ROWS = 100_000
+SKETCH_PARTS = 64
+
 
 def row_index(df: DataFrame, spec: SeriesSpec, name: str = "row_index") -> DataFrame:
     """Number the rows of each series from 0 in (time, tie) order.
@@ -99,10 +103,9 @@ def with_series_windows(
 
 @dataclass(frozen=True)
 class Borders:
-    """Bucket borders per column, and about how many groups the rows form."""
+    """Bucket borders per column."""
 
     splits: dict[str, list[float]]
-    groups: int
 
     def apply(self, df: DataFrame, names: dict[str, str]) -> DataFrame:
         """Add order-preserving bucket ids; ``names`` maps a value column to its bucket column."""
@@ -115,20 +118,35 @@ class Borders:
         return bucketizer.transform(df)
 
 
-def bucket_borders(df: DataFrame, columns: Sequence[str], buckets: int = 512, by: Sequence[str] = ()) -> Borders:
-    """Values that split each column into about equal shares, and the number of groups.
+def bucket_borders(df: DataFrame, columns: Sequence[str], buckets: int = 512) -> Borders:
+    """Values that split each column into about equal shares.
 
-    One small action over sketches of fixed size fetches at most ``buckets``
-    numbers per column.  Borders only balance the work: no result depends on them.
+    Quantile sketches are merged for ``SKETCH_PARTS`` groups of partitions, not in
+    one task, and one action fetches their ``buckets`` numbers each.  Borders
+    only balance the work: no result depends on them.
     """
     shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     sketches = [
-        F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({shares}), {10 * buckets})").alias(c) for c in columns
+        F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({shares}), {4 * buckets})").alias(c) for c in columns
     ]
-    groups = F.approx_count_distinct(F.struct(*by)) if by else F.lit(1)
-    row = df.agg(*sketches, groups.alias("_groups")).first()
-    splits = {c: [-math.inf, *sorted(set(row[c] or [0.0])), math.inf] for c in columns}
-    return Borders(splits, int(row["_groups"]))
+    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_PARTS)).alias("_part")
+    rows = df.select(*columns, part).groupBy("_part").agg(*sketches).collect()
+    splits = {}
+    for c in columns:
+        values = np.sort(np.concatenate([r[c] for r in rows if r[c]] or [[0.0]]))
+        picked = values[np.linspace(0, len(values) - 1, min(buckets, len(values))).astype(int)]
+        splits[c] = [-math.inf, *np.unique(picked[np.isfinite(picked)] + 0.0).tolist(), math.inf]
+    return Borders(splits)
+
+
+def count_groups(df: DataFrame, by: Sequence[str]) -> int:
+    """About how many groups there are, from one small sketch."""
+    return int(df.agg(F.approx_count_distinct(F.struct(*by))).first()[0]) if by else 1
+
+
+def join_group_table(df: DataFrame, table: DataFrame, by: Sequence[str], groups: int) -> DataFrame:
+    """Attach a table with one row per group: broadcast if it is known to be small, else left to Spark."""
+    return df.join(F.broadcast(table) if groups <= BROADCAST_ROWS else table, list(by), "left")
 
 
 def running_totals(

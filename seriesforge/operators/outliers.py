@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.operators.ordering import with_scalar
+from seriesforge.operators.ordering import count_groups, join_group_table, with_scalar
 from seriesforge.operators.quality import unpivot_row
 from seriesforge.operators.statistics import percentiles
 
@@ -39,11 +39,12 @@ def flag_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def flag_outliers_by_group(df: DataFrame, keys: Sequence[str], column: str, bounded: bool = True) -> DataFrame:
-    """The same with quartiles per group; Spark chooses the join by the size of the quartile table."""
-    quartiles = percentiles(df, keys, [column], (0.25, 0.75), bounded).select(
+    """The same with quartiles per group; ``bounded`` groups fit a task each."""
+    groups = count_groups(df, keys)
+    quartiles = percentiles(df, keys, [column], (0.25, 0.75), bounded, groups=groups).select(
         *keys, F.col("q")[0].alias("_q1"), F.col("q")[1].alias("_q3")
     )
-    flagged = df.join(quartiles, list(keys), "left")
+    flagged = join_group_table(df, quartiles, keys, groups)
     return flagged.withColumn(f"{column}_flag", _flag(F.col(column), F.col("_q1"), F.col("_q3"))).drop("_q1", "_q3")
 
 

@@ -7,10 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesforge.operators.ordering import bucket_borders, bucket_totals, with_scalar
+from seriesforge.operators.ordering import (
+    BROADCAST_ROWS,
+    bucket_borders,
+    bucket_totals,
+    count_groups,
+    join_group_table,
+    with_scalar,
+)
 
 QUARTILES = (0.25, 0.5, 0.75)
-BROADCAST_ROWS = 100_000
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -30,6 +36,7 @@ def percentiles(
     probabilities: Sequence[float] = QUARTILES,
     bounded: bool = False,
     buckets: int = 512,
+    groups: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles: one row per (by, column) with an array ``q``.
 
@@ -37,14 +44,16 @@ def percentiles(
     uses the built-in aggregate, which keeps a group's distinct values in memory.
     Otherwise no group is ever brought together: values are counted per bucket,
     the running counts tell which buckets hold the wanted ranks, and only the
-    values of those buckets are shuffled and ordered.
+    values of those buckets are shuffled and ordered; raise ``buckets`` with the
+    size of the largest group.
     """
     by = list(by)
     probabilities = list(probabilities)
     if bounded:
         return melt(df, by, columns).groupBy(*by, "column").agg(_builtin(probabilities).alias("q"))
 
-    borders = bucket_borders(df, columns, buckets, by)
+    borders = bucket_borders(df, columns, buckets)
+    groups = count_groups(df, by) if groups is None else groups
     names = {c: f"_bucket_{c}" for c in columns}
     pairs = F.array(
         *[
@@ -63,7 +72,7 @@ def percentiles(
     touched = [(r >= F.col("_off_n")) & (r < F.col("_off_n") + F.col("_in_n")) for _, r in ranks]
     wanted = bucket_totals(long, group, ["n"]).filter(_any(touched)).drop("_in_n")
     # At most two buckets per group, column and probability are wanted.
-    if borders.groups * len(columns) * len(ranks) <= BROADCAST_ROWS:
+    if groups * len(columns) * len(ranks) <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
 
     keep = [*group, "_bucket", "_off_n", "n_total"]
@@ -117,25 +126,25 @@ def box_plot(df: DataFrame, by: Sequence[str], column: str, bounded: bool = Fals
     """Quartiles, whiskers and outlier count of a column per group.
 
     Whiskers are the extreme values within ``reach`` times the interquartile range.
-    The rows are first reduced to (group, value, count), so the quartiles meet a
-    small table instead of the rows.
+    The quartiles join the rows as a small table, and what is left is one
+    aggregate with partial sums.
     """
     by = list(by)
-    quartiles = percentiles(df, by, [column], QUARTILES, bounded).select(
-        *by, *[F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]
-    )
-    counted = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
-    margin = F.lit(reach) * (F.col("q3") - F.col("q1"))
-    value = F.col(column)
-    inside = (value >= F.col("q1") - margin) & (value <= F.col("q3") + margin)
+    groups = count_groups(df, by)
+    names = ("q1", "median", "q3")
+    quartiles = percentiles(df, by, [column], QUARTILES, bounded, groups=groups)
+    quartiles = quartiles.select(*by, *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
+    rows = df.select(*by, column).filter(F.col(column).isNotNull())
     if by:
-        joined = counted.join(quartiles, by)
+        joined = join_group_table(rows, quartiles, by, groups)
     else:
-        joined = with_scalar(counted, quartiles.select(F.struct("*")), "_q").select("*", "_q.*")
-    return joined.groupBy(*by, "q1", "median", "q3").agg(
+        joined = with_scalar(rows, quartiles.select(F.struct("*")), "_q").select("*", "_q.*")
+    value, margin = F.col(column), F.lit(reach) * (F.col("q3") - F.col("q1"))
+    inside = (value >= F.col("q1") - margin) & (value <= F.col("q3") + margin)
+    return joined.groupBy(*by, *names).agg(
         F.min(F.when(inside, value)).alias("whisker_low"),
         F.max(F.when(inside, value)).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     )
 
 
