@@ -129,4 +129,12 @@ def completeness_report(df: DataFrame, keys: Sequence[str] = (), time: str = TIM
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.dropna(how="any", subset=list(columns) if columns else None)
+    """Keep complete rows.
+
+    One condition per column: the single many-column condition of ``dropna``
+    makes the optimizer's constraint sets explode over derived columns.
+    """
+    complete = F.lit(True)
+    for c in columns or df.columns:
+        complete = complete & F.col(f"`{c}`").isNotNull()
+    return df.filter(complete)

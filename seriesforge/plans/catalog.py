@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesforge.session import ship_package
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,6 +29,7 @@ def query(sql: str | None = None, digits: int = 6):
 
     def register(fn: Run) -> Run:
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
             return rounded(fn(spark, folder), digits)
 
         REGISTRY[fn.__name__] = Query(fn.__name__, run, sql)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from seriesforge.functions.scalar import clip as clip_column
 from seriesforge.models import arima, linear, neighbors, network, training, trees, tuning
 from seriesforge.operators import evaluation as ev
+from seriesforge.operators.quality import drop_missing
 from seriesforge.operators.scaling import FittedScaler
 from seriesforge.operators.splitting import chronological_split, expanding_folds, expanding_pairs
 from seriesforge.operators.windows import window_features
@@ -16,6 +17,7 @@ from seriesforge.plans.features import engineered_features, numeric_features
 from seriesforge.plans.forecasting import forecast_run
 from seriesforge.plans.inputs import WEEKLY, WEEKLY_SQL, weekly_weather
 from seriesforge.plans.queries_evaluation import FORECAST_SQL
+from seriesforge.session import materialize
 from seriesforge.sources.readers import read_table
 from seriesforge.specs import HUMIDITY, MEASURES, TARGET, TEMPERATURE, WIND, average_columns, lag_columns
 from seriesforge.streaming.weekly import run_to_table, weekly_stream
@@ -30,7 +32,7 @@ def past_features(spark: SparkSession, folder: str) -> DataFrame:
     wide = window_features(
         frame, WEEKLY, lags=lag_columns([TARGET], (1,)), averages=average_columns([TARGET], (3,)), exclude_current=True
     )
-    return wide.dropna()
+    return drop_missing(wide)
 
 
 _PAST_SQL = f"{FORECAST_SQL}, pf AS (SELECT y, lag_1 AS a, ma_3 AS b FROM wide WHERE ma_3 IS NOT NULL)"
@@ -173,9 +175,10 @@ def _rerank():
 def scaled_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, FittedScaler]:
     """(train, test) with three scaled features of the week and the past, and a row id."""
     frame = weekly_weather(spark, folder)
-    wide = window_features(frame, WEEKLY, lags=lag_columns([TARGET], (1,))).dropna()
-    split = chronological_split(wide, WEEKLY)
+    wide = window_features(frame, WEEKLY, lags=lag_columns([TARGET], (1,)))
+    split = chronological_split(drop_missing(wide), WEEKLY)
     split = split.withColumn("row_id", F.col("station") * 100000 + F.datediff("Date", F.lit("1970-01-01").cast("date")))
+    split = materialize(split)
     train, test = split.filter("is_train"), split.filter("NOT is_train")
     scaler = FittedScaler.fit(train, [TEMPERATURE, HUMIDITY, LAG])
     return scaler.transform(train), scaler.transform(test), scaler
@@ -254,7 +257,7 @@ def arima_holdout_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Orders fitted on the first four fifths of every series, judged on the last fifth."""
     split = chronological_split(weekly_weather(spark, folder).select(*KEYS, TARGET), WEEKLY)
     predictions = arima.forecast_holdout(
-        split.filter("is_train"), split.filter("NOT is_train"), WEEKLY, TARGET, steps=120, p_range=(0, 1, 2), q_range=(0, 1)
+        split.filter("is_train"), split.filter("NOT is_train"), WEEKLY, TARGET, p_range=(0, 1, 2), q_range=(0, 1)
     )
     return ev.regression_metrics(predictions.withColumn("model", F.lit("arima")))
 
@@ -279,7 +282,7 @@ def unit_root_test(spark: SparkSession, folder: str) -> DataFrame:
 
 def _trained(spark: SparkSession, folder: str):
     wide, names = model_table(spark, folder)
-    split = chronological_split(wide, WEEKLY)
+    split = materialize(chronological_split(wide, WEEKLY))
     estimators = {
         "linear_regression": linear.linear_estimator(TARGET),
         "random_forest": trees.forest(TARGET, n_estimators=20, max_depth=6),
@@ -306,7 +309,7 @@ def feature_importances(spark: SparkSession, folder: str) -> DataFrame:
 def with_without_features(spark: SparkSession, folder: str) -> DataFrame:
     """The gain of the engineered features per model."""
     wide, names = model_table(spark, folder)
-    split = chronological_split(wide, WEEKLY)
+    split = materialize(chronological_split(wide, WEEKLY))
     train, test = split.filter("is_train"), split.filter("NOT is_train")
     tables = []
     for features in ([TEMPERATURE, HUMIDITY, WIND], names):

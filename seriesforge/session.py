@@ -4,9 +4,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed where it is not installed on the workers; registered queries call it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="seriesforge-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(root.rglob("*.py")):
+            bundle.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "seriesforge") -> SparkSession:
     """A session for tests and the benchmark; clusters bring their own."""

@@ -226,3 +226,16 @@ def test_knn_imputation_against_brute_force(spark, sunday):
 
 def test_valid_ranges_cover_the_measures():
     assert set(VALID_RANGES) == set(MEASURES)
+
+
+def test_partitioned_sink_prunes_years(spark, weather, tmp_path):
+    import io
+    from contextlib import redirect_stdout
+
+    path = str(tmp_path / "years")
+    writers.write_parquet(readers.with_year(weather), path, ["Year"])
+    back = spark.read.parquet(path).filter("Year = 2020")
+    text = io.StringIO()
+    with redirect_stdout(text):
+        back.explain("formatted")
+    assert back.count() == 10 and "PartitionFilters: [isnotnull(Year" in text.getvalue()
