@@ -142,8 +142,9 @@ def find_contamination(
     window: int = WINDOW,
     one_in: int = ONE_IN,
     automaton_chars: int = AUTOMATON_CHARS,
+    keep_key: bool = False,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, spans (code points), items, contaminated.
+    """One row per document: doc_id, n_words, n_hit, spans (code points), items, contaminated (and text_key if asked).
 
     The patterns' total length is measured first. Up to ``automaton_chars`` they form one broadcast automaton;
     beyond, they are dealt by hash over as many automata as needed and each scans the texts once.
@@ -155,9 +156,9 @@ def find_contamination(
     shards = max(1, -(-total // automaton_chars))
     texts = docs.select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     if shards == 1:
-        found = _scan(texts, _collected(patterns))
+        found = _scan(texts.withColumn("text_key", text_key()) if keep_key else texts, _collected(patterns))
     else:
-        keyed = texts.withColumn("text_key", F.sha2(F.coalesce("text", F.lit(b"")), 256))
+        keyed = texts.withColumn("text_key", text_key())
         own = [patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(shards)) == shard) for shard in range(shards)]
         parts = [_scan(keyed, _collected(part)) for part in own]
         # Rows that share id and text have equal results: they meet here and are counted out again.
@@ -172,6 +173,25 @@ def find_contamination(
             )
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         )
+    return _judged(found, one_in)
+
+
+def text_key() -> Column:
+    return F.sha2(F.coalesce(F.col("text").cast("binary"), F.lit(b"")), 256)
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) that are not contaminated, unchanged.
+
+    Ids alone may repeat with other texts, so contaminated rows are named by id and text.
+    """
+    judged = find_contamination(docs, benchmark, keep_key=True, **options).where("contaminated").select("doc_id", "text_key").distinct()
+    keyed = docs.withColumn("text_key", text_key())
+    same = keyed["doc_id"].eqNullSafe(judged["doc_id"]) & (keyed["text_key"] == judged["text_key"])
+    return keyed.join(judged, same, "left_anti").drop("text_key")
+
+
+def _judged(found: DataFrame, one_in: int) -> DataFrame:
     n_hit = F.aggregate("word_spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
     return found.withColumn("n_hit", n_hit).select(
         "doc_id",
@@ -180,6 +200,7 @@ def find_contamination(
         "spans",
         "items",
         ((F.col("n_hit") > 0) & (F.lit(one_in) * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        *[c for c in ("text_key",) if c in found.columns],
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import bpe, decontaminate, simhash
+from seriesforge.llm import bpe, chat, decontaminate, secrets, simhash, toxicity
 from seriesforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -15,16 +15,53 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, folder, "documents")))
 
 
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    extra = spark.sql(
+        r"""SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, '</s>[INST] ok [/INST]' AS text
+            FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)"""
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digest(chat.format_chats(turns))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), RANKS)
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, folder, "documents")))
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(
         decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     )
 
 
+OP3_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+l AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before FROM t),
+sizes AS (
+  SELECT *, length(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '[', chr(92) || '['), '<', chr(92) || '<'))
+    + CASE WHEN before IS NOT DISTINCT FROM role THEN 8
+           WHEN role = 'user' THEN 10 + 8 WHEN role = 'assistant' THEN 11 + 5 WHEN role = 'system' THEN 9 + 7
+           ELSE 11 + 8 + 2 * octet_length(encode(role)) END AS n
+  FROM l)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM sizes GROUP BY conv_id
+"""
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS row_id, doc_id,
@@ -58,8 +95,11 @@ FROM d LEFT JOIN hits USING (row_id) LEFT JOIN items USING (row_id)
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_chat_format": op3_chat_format,
+    "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
 }
 
-SQL = {"op8_decontaminate": OP8_SQL}
+SQL = {"op3_chat_format": OP3_SQL, "op8_decontaminate": OP8_SQL}

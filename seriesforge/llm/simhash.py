@@ -223,6 +223,19 @@ def near_duplicates(
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` (doc_id, text, ...) without the near-duplicates of a smaller doc_id; the rest unchanged.
+
+    Of rows that repeat a doc_id one stays. Rows without a doc_id can't be told apart by it, and stay.
+    """
+    found = stored(near_duplicates(docs, **options), "simhash-components")
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The columns of the contract."""
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
