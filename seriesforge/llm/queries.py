@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import bpe, chat, decontaminate, secrets, simhash, toxicity
+from seriesforge.llm import bpe, chat, decontaminate, neighbours, secrets, simhash, toxicity, warc
 from seriesforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_warc_index(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.digest(warc.archive_and_index(table(spark, folder, "pages")))
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, folder, "documents")))
 
@@ -42,6 +46,29 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
+OP1_SQL = r"""
+WITH h AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (
+  SELECT *, array_to_string(list_transform(range(1, 41),
+              lambda i: lpad(bin(strpos('0123456789abcdef', substr(hex, i, 1)) - 1), 4, '0')), '') AS bits FROM h),
+d AS (
+  SELECT page_id, n, array_to_string(list_transform(range(0, 32), lambda j:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST(list_sum(list_transform(range(1, 6), lambda k:
+             CASE WHEN substr(bits, 5 * j + k, 1) = '1' THEN CAST(2 ** (5 - k) AS INTEGER) ELSE 0 END)) AS INTEGER), 1)), '') AS digest
+  FROM b),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest, n) AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
 OP3_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -93,13 +120,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hits USING (row_id) LEFT JOIN items USING (row_id)
 """
 
+OP10_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
 QUERIES = {
+    "op1_warc_index": op1_warc_index,
     "op2_simhash": op2_simhash,
     "op3_chat_format": op3_chat_format,
     "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
+    "op10_nearest": op10_nearest,
 }
 
-SQL = {"op3_chat_format": OP3_SQL, "op8_decontaminate": OP8_SQL}
+SQL = {
+    "op1_warc_index": OP1_SQL,
+    "op3_chat_format": OP3_SQL,
+    "op8_decontaminate": OP8_SQL,
+    "op10_nearest": OP10_SQL,
+}
