@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from seriesforge.llm import bpe, chat, decontaminate, neighbours, secrets, simhash, toxicity, warc
+from seriesforge.llm import bpe, chat, decontaminate, neighbours, repeats, secrets, simhash, toxicity, warc
 from seriesforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -36,6 +36,10 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), RANKS)
 
 
+def op6_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, folder, "documents")))
+
+
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, folder, "documents")))
 
@@ -89,6 +93,29 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM sizes GROUP BY conv_id
 """
 
+OP6_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, octet_length(encode(coalesce(text, ''))) AS n, lower(hex(encode(coalesce(text, '')))) AS h
+  FROM documents),
+w AS (
+  SELECT row_id, doc_id, i, substr(h, 2 * i + 1, 100) AS piece
+  FROM (SELECT row_id, doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+m AS (SELECT piece, min(doc_id) AS least FROM w GROUP BY piece HAVING min(doc_id) < max(doc_id)),
+s AS (SELECT row_id, i FROM w JOIN m USING (piece) WHERE least < doc_id),
+e AS (SELECT row_id, i, lag(i) OVER (PARTITION BY row_id ORDER BY i) AS before FROM s),
+g AS (SELECT row_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY row_id ORDER BY i) AS run FROM e),
+r AS (SELECT row_id, run, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY row_id, run),
+p AS (SELECT row_id, run, a, b, lag(b, 1, 0) OVER (PARTITION BY row_id ORDER BY a) AS from_byte FROM r),
+k AS (
+  SELECT row_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last_byte,
+         string_agg(substr(h, 2 * from_byte + 1, 2 * (a - from_byte)), '' ORDER BY a) AS kept
+  FROM p JOIN d USING (row_id) GROUP BY row_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last_byte, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (row_id)
+"""
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS row_id, doc_id,
@@ -139,6 +166,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_suffix_repeats": op6_suffix_repeats,
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
     "op10_nearest": op10_nearest,
@@ -147,6 +175,7 @@ QUERIES = {
 SQL = {
     "op1_warc_index": OP1_SQL,
     "op3_chat_format": OP3_SQL,
+    "op6_suffix_repeats": OP6_SQL,
     "op8_decontaminate": OP8_SQL,
     "op10_nearest": OP10_SQL,
 }
