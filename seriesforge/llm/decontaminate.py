@@ -186,9 +186,9 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     Ids alone may repeat with other texts, so contaminated rows are named by id and text.
     """
     judged = find_contamination(docs, benchmark, keep_key=True, **options).where("contaminated").select("doc_id", "text_key").distinct()
-    keyed = docs.withColumn("text_key", text_key())
-    same = keyed["doc_id"].eqNullSafe(judged["doc_id"]) & (keyed["text_key"] == judged["text_key"])
-    return keyed.join(judged, same, "left_anti").drop("text_key")
+    keyed = docs.withColumn("__text_key", text_key())
+    same = keyed["doc_id"].eqNullSafe(judged["doc_id"]) & (keyed["__text_key"] == judged["text_key"])
+    return keyed.join(judged, same, "left_anti").drop("__text_key")
 
 
 def _judged(found: DataFrame, one_in: int) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seriesforge.llm import bpe, chat, decontaminate, neighbours, repeats, secrets, simhash, toxicity, warc
+from seriesforge.llm import bpe, chat, decontaminate, neighbours, ngram_lm, repeats, secrets, simhash, toxicity, warc
 from seriesforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -50,6 +51,14 @@ def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores are rounded to six digits, so that the order of sums does not show."""
+    scored = ngram_lm.score(table(spark, folder, "documents"))
+    return scored.select(
+        "doc_id", "n_tokens", F.round("log_score", 6).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score")
+    )
+
+
 def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"))
 
@@ -147,6 +156,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hits USING (row_id) LEFT JOIN items USING (row_id)
 """
 
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+t AS (SELECT row_id, i, w[i] AS b, w[i - 1] AS a FROM (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+n AS (SELECT count(*) AS tokens FROM t),
+one AS (SELECT b, count(*) AS c FROM t GROUP BY b),
+one_own AS (SELECT row_id, b, count(*) AS c FROM t GROUP BY row_id, b),
+two AS (SELECT a, b, count(*) AS c FROM t WHERE i > 1 GROUP BY a, b),
+two_own AS (SELECT row_id, a, b, count(*) AS c FROM t WHERE i > 1 GROUP BY row_id, a, b),
+s AS (
+  SELECT t.row_id,
+         CASE WHEN i > 1 AND two.c - two_own.c > 0 THEN ln(two.c - two_own.c) - ln(ctx.c - ctx_own.c)
+              ELSE ln(0.4) + ln(greatest(one.c - one_own.c, 0.5)) - ln(greatest(tokens - len(w), 1)) END AS v
+  FROM t JOIN d USING (row_id) CROSS JOIN n
+  JOIN one ON one.b = t.b JOIN one_own ON one_own.row_id = t.row_id AND one_own.b = t.b
+  LEFT JOIN two ON i > 1 AND two.a = t.a AND two.b = t.b
+  LEFT JOIN two_own ON i > 1 AND two_own.row_id = t.row_id AND two_own.a = t.a AND two_own.b = t.b
+  LEFT JOIN one ctx ON i > 1 AND ctx.b = t.a
+  LEFT JOIN one_own ctx_own ON i > 1 AND ctx_own.row_id = t.row_id AND ctx_own.b = t.a),
+r AS (SELECT row_id, sum(v) AS v FROM s GROUP BY row_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, round(coalesce(v, 0), 6) AS log_score,
+       CASE WHEN len(w) > 0 THEN round(v / len(w), 6) END AS mean_log_score
+FROM d LEFT JOIN r USING (row_id)
+"""
+
 OP10_SQL = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
@@ -169,6 +206,7 @@ QUERIES = {
     "op6_suffix_repeats": op6_suffix_repeats,
     "op7_secrets": op7_secrets,
     "op8_decontaminate": op8_decontaminate,
+    "op9_ngram_lm": op9_ngram_lm,
     "op10_nearest": op10_nearest,
 }
 
@@ -177,5 +215,6 @@ SQL = {
     "op3_chat_format": OP3_SQL,
     "op6_suffix_repeats": OP6_SQL,
     "op8_decontaminate": OP8_SQL,
+    "op9_ngram_lm": OP9_SQL,
     "op10_nearest": OP10_SQL,
 }
