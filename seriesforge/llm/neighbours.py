@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product with randomly rotated one-bit codes.
 
-A vector's offset from the mean is rotated at random and kept as one bit per dimension, packed, with three scalars: the
-length of the offset, how well the bits point along it, and its inner product with the mean. A rotated query, cut to a
+A vector's offset from the mean is rotated at random and kept as one bit per dimension, packed, with two scalars: the
+length of the offset and how well the bits point along it. A rotated query, cut to a
 few bit planes, meets the packed bits by AND and population count; the scalars turn the counts into an estimate of the
 inner product with a bound on its error. Only vectors whose upper bound reaches the current k-th best score are
 compared exactly.
@@ -26,15 +26,15 @@ from seriesforge.llm.common import per_batch, prepare, stored
 
 NEAREST = 20
 ONE_QUERY_IN = 20
-#: Width of the error bound; the chance that it fails falls with the exponential of its square.
-EPSILON = 4.0
+#: Width of the error bound in standard deviations of the estimate: one true neighbour in 700 may lie beyond.
+EPSILON = 3.0
 #: Bit planes of a query.
 PLANES = 6
 SEED = 20
 QUERY_BLOCK = 4096
 SHARD_ROWS = 8192
-#: Rows of a shard that are looked at before the k-th best score is taken anew, and queries at a time.
-_STEP, _TILE = 1024, 256
+#: Queries of a block that are looked at together.
+_TILE = 128
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -74,14 +74,14 @@ def rotation(d: int, seed: int = SEED) -> np.ndarray:
 
 
 def encode(vectors: np.ndarray, mean: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed sign bits (uint64 words) and the scalars: offset length, alignment, inner product with the mean."""
+    """Packed sign bits (uint64 words) and the scalars: offset length, alignment."""
     n, d = vectors.shape
     offset = vectors - mean
     length = np.linalg.norm(offset, axis=1)
     turned = (offset / np.where(length > 0, length, 1)[:, None]) @ turn
     bits = turned > 0
     align = np.abs(turned).sum(axis=1) / np.sqrt(d)
-    return _pack(bits), np.stack([length, np.where(length > 0, align, 1.0), vectors @ mean], axis=1)
+    return _pack(bits), np.stack([length, np.where(length > 0, align, 1.0)], axis=1)
 
 
 def _pack(bits: np.ndarray) -> np.ndarray:
@@ -92,25 +92,25 @@ def _pack(bits: np.ndarray) -> np.ndarray:
 
 
 def build_index(rows: DataFrame, mean: np.ndarray, seed: int = SEED) -> DataFrame:
-    """(vec_id, code, length, align, with_mean, vector) for every row."""
+    """(vec_id, code, length, align, vector) for every row."""
     turn = rotation(len(mean), seed)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         codes, scalars = encode(_matrix(batch.column("vector")), mean, turn)
         return pa.RecordBatch.from_arrays(
             [batch.column("vec_id"), pa.array([c.tobytes() for c in codes], pa.binary()), *[pa.array(s) for s in scalars.T], batch.column("vector")],
-            names=["vec_id", "code", "length", "align", "with_mean", "vector"],
+            names=["vec_id", "code", "length", "align", "vector"],
         )
 
-    schema = "vec_id bigint, code binary, length double, align double, with_mean double, vector array<double>"
+    schema = "vec_id bigint, code binary, length double, align double, vector array<double>"
     return per_batch(rows.select("vec_id", "vector"), work, schema)
 
 
-def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of paired rows, added up dimension by dimension."""
+def exact(a_columns: np.ndarray, b_columns: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs (a, b), added up dimension by dimension."""
     total = np.zeros(len(a))
-    for x, y in zip(a.T, b.T):
-        total += x * y
+    for x, y in zip(a_columns, b_columns):
+        total += x[a] * y[b]
     return total
 
 
@@ -127,67 +127,67 @@ class _Queries:
         self.planes = [_pack((cut >> j & 1).astype(bool)) for j in range(planes)]
         self.lost = np.linalg.norm(turned - rounded, axis=1)
         self.norm = np.linalg.norm(vectors, axis=1)
+        self.with_mean, self.mean_norm = vectors @ mean, np.linalg.norm(mean)
         self.root = np.sqrt(vectors.shape[1])
 
-    def upper_bounds(self, tile: slice, codes: np.ndarray, scalars: np.ndarray, epsilon: float) -> np.ndarray:
-        """Most that the inner product of each query of the tile with each coded vector can be."""
-        length, align, with_mean = scalars.T
-        ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
-        counts = np.zeros((self.low[tile].size, len(codes)), np.int64)
+    def estimates(self, tile: slice, codes: np.ndarray, scalars: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+        """Estimated inner product of each query of the tile with each coded vector, and the most it can be."""
+        length, align = (x.astype(np.float32) for x in scalars.T)
+        ones = np.bitwise_count(codes).sum(axis=1, dtype=np.float32)
+        counts = np.zeros((self.low[tile].size, len(codes)), np.int32)
         for j, plane in enumerate(self.planes):
             for w in range(codes.shape[1]):
-                counts += np.bitwise_count(plane[tile, w][:, None] & codes[:, w][None, :]).astype(np.int64) << j
-        dot = (2 * (self.low[tile][:, None] * ones + self.step[tile][:, None] * counts) - self.total[tile][:, None]) / self.root
-        d = self.root**2
-        spread = np.sqrt(np.maximum(1 - align**2, 0)) / align / np.sqrt(max(d - 1, 1))
-        error = self.norm[tile][:, None] * (epsilon * spread)[None, :] + self.lost[tile][:, None] / align[None, :]
-        return with_mean + length * (dot / align + error) + 1e-9 * self.norm[tile][:, None]
+                counts += np.multiply(np.bitwise_count(plane[tile, w][:, None] & codes[:, w]), 1 << j, dtype=np.int32)
+        per_query = lambda x: x[tile].astype(np.float32)[:, None]
+        dot = counts * per_query(2 * self.step / self.root)
+        dot += per_query(2 * self.low / self.root) * ones - per_query(self.total / self.root)
+        dot *= length / align
+        dot += per_query(self.with_mean)
+        spread = np.sqrt(np.maximum(1 - align**2, 0)) / align / np.sqrt(max(self.root**2 - 1, 1))
+        most = dot + per_query(self.norm) * (length * epsilon * spread).astype(np.float32)
+        most += per_query(self.lost) * (length / align)
+        most += per_query(self.norm) * np.float32(1e-5) * (length + np.float32(self.mean_norm))
+        return dot, most
 
 
 def search_cell(queries: pa.Table, rows: pa.Table, mean: np.ndarray, turn: np.ndarray, k: int, epsilon: float) -> dict[str, np.ndarray]:
-    """The k nearest rows of one shard for each query of one block."""
+    """The k nearest rows of one shard for each query of one block.
+
+    The k best estimates are compared exactly first. Their k-th best score is one that the true k-th best can't fall
+    short of, so only vectors whose upper bound reaches it follow.
+    """
     q_ids, q_vectors = queries.column("vec_id").to_numpy(), _matrix(queries.column("vector"))
     r_ids, r_vectors = rows.column("vec_id").to_numpy(), _matrix(rows.column("vector"))
-    order = np.argsort(r_ids, kind="stable")
-    codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), "<u8").reshape(len(r_ids), -1)[order]
-    scalars = np.stack([rows.column(c).to_numpy() for c in ("length", "align", "with_mean")], axis=1)[order]
-    r_ids, r_vectors = r_ids[order], r_vectors[order]
+    codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), "<u8").reshape(len(r_ids), -1)
+    scalars = np.stack([rows.column(c).to_numpy() for c in ("length", "align")], axis=1)
     coded = _Queries(q_vectors, mean, turn)
-    out_q, out_r, out_s = [], [], []
+    q_columns, r_columns = np.ascontiguousarray(q_vectors.T), np.ascontiguousarray(r_vectors.T)
+    own_items = len(np.unique(r_ids)) == len(r_ids)
+    found = []
     for a in range(0, len(q_ids), _TILE):
         tile = slice(a, min(a + _TILE, len(q_ids)))
         size = tile.stop - a
-        best = np.full((size, k), -np.inf)
-        who = np.full((size, k), np.iinfo(np.int64).max)
-        for b in range(0, len(r_ids), _STEP):
-            part = slice(b, b + _STEP)
-            bound = coded.upper_bounds(tile, codes[part], scalars[part], epsilon)
-            qi, ri = np.nonzero((bound >= best[:, -1:]) & (q_ids[tile][:, None] != r_ids[part][None, :]))
-            if not len(qi):
-                continue
-            score = exact(q_vectors[a + qi], r_vectors[b + ri])
-            keep = score >= best[qi, -1]
-            qi, ri, score = qi[keep], ri[keep], score[keep]
-            # The best so far and the new ones are ranked together, query by query.
-            rank_q = np.concatenate([np.repeat(np.arange(size), k), qi])
-            rank_s = np.concatenate([best.ravel(), score])
-            rank_r = np.concatenate([who.ravel(), r_ids[b + ri]])
-            at = np.lexsort((rank_r, -rank_s, rank_q))
-            rank_q, rank_s, rank_r = rank_q[at], rank_s[at], rank_r[at]
-            if len(np.unique(r_ids[part])) < len(r_ids[part]):  # an item counts once, at its best
-                again = np.lexsort((-rank_s, rank_r, rank_q))
-                twin = np.concatenate(([False], (np.diff(rank_q[again]) == 0) & (np.diff(rank_r[again]) == 0))) & (rank_s[again] > -np.inf)
-                keep = np.ones(len(at), bool)
-                keep[again[twin]] = False
-                rank_q, rank_s, rank_r = rank_q[keep], rank_s[keep], rank_r[keep]
-            begin = np.searchsorted(rank_q, np.arange(size))
-            pick = begin[:, None] + np.arange(k)
-            best, who = rank_s[pick], rank_r[pick]
-        found = best > -np.inf
-        out_q.append(np.repeat(q_ids[tile], found.sum(axis=1)))
-        out_r.append(who[found])
-        out_s.append(best[found])
-    return {"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_r), "score": np.concatenate(out_s)}
+        estimate, most = coded.estimates(tile, codes, scalars, epsilon)
+        own = q_ids[tile][:, None] == r_ids
+        estimate[own] = most[own] = -np.inf
+        reach = np.full(size, -np.inf)
+        if own_items and len(r_ids) > k + 1:
+            lead = np.argpartition(-estimate, k, axis=1)[:, :k]
+            first = exact(q_columns, r_columns, np.repeat(np.arange(a, tile.stop), k), lead.ravel()).reshape(size, k)
+            reach = first.min(axis=1)
+        qi, ri = np.nonzero((most >= reach[:, None]) & ~own)
+        score = exact(q_columns, r_columns, a + qi, ri)
+        near = score >= reach[qi]
+        found.append((a + qi[near], r_ids[ri[near]], score[near]))
+    q, r, score = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((-score, r, q))  # an item counts once, at its best
+    q, r, score = q[order], r[order], score[order]
+    once = np.append(True, (np.diff(q) != 0) | (np.diff(r) != 0))[: len(q)]
+    q, r, score = q[once], r[once], score[once]
+    order = np.lexsort((r, -score, q))
+    q, r, score = q[order], r[order], score[order]
+    best = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return {"query_id": q_ids[q[best]], "vec_id": r[best], "score": score[best]}
 
 
 def nearest(

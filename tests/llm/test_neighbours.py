@@ -13,10 +13,13 @@ def table(spark, vectors, ids=None):
 
 def plain(ids, vectors, k=20):
     v = np.array(vectors, np.float32).astype(np.float64)
+    dots = np.zeros((len(v), len(v)))
+    for x in v.T:  # one dimension after the other; sum() would round otherwise
+        dots += x[:, None] * x
     out = {}
     for q, i in enumerate(ids):
         if i % 20 == 0:
-            scores = [(-sum(a * b for a, b in zip(v[q].tolist(), v[c].tolist())), j) for c, j in enumerate(ids) if j != i]
+            scores = [(-dots[q, c], j) for c, j in enumerate(ids) if j != i]
             out[i] = [(j, -s) for s, j in sorted(scores)[:k]]
     return out
 
@@ -42,10 +45,11 @@ def test_bounds_hold():
     v, q = r.standard_normal((500, 64)), r.standard_normal((40, 64))
     mean, turn = v.mean(axis=0), N.rotation(64)
     codes, scalars = N.encode(v, mean, turn)
-    bound = N._Queries(q, mean, turn).upper_bounds(slice(0, 40), codes, scalars, N.EPSILON)
+    estimate, most = N._Queries(q, mean, turn).estimates(slice(0, 40), codes, scalars, N.EPSILON)
     true = q @ v.T
-    assert (bound >= true).mean() > 0.9999
-    assert (bound - true).mean() < 1.2 * N.EPSILON * np.linalg.norm(q, axis=1).mean()  # they tell something
+    assert (most >= true).mean() > 0.998
+    assert np.corrcoef(estimate.ravel(), true.ravel())[0, 1] > 0.75  # they tell something
+    assert abs((estimate - true).mean()) < 0.1
     assert np.allclose(turn @ turn.T, np.eye(64))
 
 
