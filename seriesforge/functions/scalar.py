@@ -85,10 +85,6 @@ def clip_at_zero(column: Column) -> Column:
     return F.when(column < 0, F.lit(0.0)).otherwise(column)
 
 
-def residual(actual: Column, predicted: Column) -> Column:
-    return actual - predicted
-
-
 def percentage_error(actual: Column, predicted: Column) -> Column:
     """Absolute relative error with the small constant that keeps a zero actual finite."""
     return F.abs((actual - predicted) / (actual + F.lit(1e-8)))

@@ -33,6 +33,19 @@ def chronological_split(df: DataFrame, spec: SeriesSpec, test_size: float = 0.2)
     return positioned(df, spec).withColumn("is_train", F.col("row_index") < cut).drop("row_index", "series_length")
 
 
+def validation_split(df: DataFrame, spec: SeriesSpec, test_size: float = 0.2, validation_size: float = 0.2) -> DataFrame:
+    """Add ``part``: the last rows of each series are ``test``, the last of those before them ``validation``.
+
+    Both cuts round as ``chronological_split`` does, so ``test`` is the same part there and here.
+    """
+    if not 0 < test_size < 1 or not 0 < validation_size < 1:
+        raise ValueError("test_size and validation_size must lie between 0 and 1")
+    rest = F.floor(F.col("series_length") * F.lit(1 - test_size))
+    train = F.floor(rest * F.lit(1 - validation_size))
+    part = F.when(F.col("row_index") < train, "train").when(F.col("row_index") < rest, "validation").otherwise("test")
+    return positioned(df, spec).withColumn("part", part).drop("row_index", "series_length")
+
+
 def split_counts(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count_if(F.col("is_train")).alias("train_rows"), F.count_if(~F.col("is_train")).alias("test_rows")

@@ -245,6 +245,23 @@ def autoregression_orders(spark: SparkSession, folder: str) -> DataFrame:
     return fits.select("station", "p", "d", "n", "sigma2", "aic")
 
 
+@query(
+    f"""WITH {WEEKLY_SQL} SELECT station, CAST(0 AS INTEGER) AS p, CAST(0 AS INTEGER) AS d, CAST(0 AS INTEGER) AS q,
+  CAST(s AS INTEGER) AS step, {dbl('station % 7', 'forecast')}
+FROM weekly, generate_series(1, 3) AS t(s) WHERE station % 2 = 0 GROUP BY station, s HAVING count(*) > 20"""
+)
+def constant_series_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Series that never change keep a model, without error, and go on as they were."""
+    constant = F.when(F.col("station") % 2 == 0, (F.col("station") % 7).cast("double")).otherwise(F.col(TARGET))
+    weekly = weekly_weather(spark, folder)
+    long = weekly.groupBy("station").count().where("count > 20").select("station")
+    fits = arima.fit_orders(
+        weekly.withColumn(TARGET, constant).join(long, "station", "left_semi"), WEEKLY, TARGET, (0, 1), (0, 1), (0, 1)
+    )
+    best = arima.best_orders(fits.where("station % 2 = 0"), ["station"])
+    return arima.forecast(best, ["station"], 3)
+
+
 @query()
 def arima_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Best of 18 orders per series by AIC, and its forecast of the next eight weeks."""

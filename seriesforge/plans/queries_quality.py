@@ -339,3 +339,17 @@ def numeric_column_list(spark: SparkSession, folder: str) -> DataFrame:
     names = quality.numeric_columns(frame)
     report = quality.unpivot_row(frame.agg(*[F.count(c).alias(f"{c}_n") for c in names]), names, {"n": "{}_n"})
     return report.filter("n > 0").select(F.lit("numeric").alias("kind"), "column")
+
+
+@query(
+    f"""SELECT l_returnflag, count(*) AS all_rows, count(q) AS with_value, {dbl('avg(q)', 'mean')}
+FROM (SELECT l_returnflag, CASE WHEN l_quantity > 40 THEN NULL ELSE l_quantity END AS q FROM lineitem) GROUP BY 1"""
+)
+def nan_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """NaN in a parquet table is NULL once it is read."""
+    path = scratch_path(spark, "nan")
+    quantity = F.when(F.col("l_quantity") > 40, float("nan")).otherwise(F.col("l_quantity")).alias("q")
+    read_table(spark, folder, "lineitem").select("l_returnflag", quantity).write.parquet(f"{path}/items.parquet")
+    return read_table(spark, path, "items").groupBy("l_returnflag").agg(
+        F.count("*").alias("all_rows"), F.count("q").alias("with_value"), F.avg("q").alias("mean")
+    )

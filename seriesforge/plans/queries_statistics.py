@@ -239,6 +239,16 @@ def temporal_split(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.chronological_split(frame, WEEKLY)
 
 
+@query(
+    f"""WITH {WEEKLY_SQL}, {_RN} SELECT {KEY}, CASE WHEN i < floor(floor(n * CAST(0.8 AS DOUBLE)) * CAST(0.8 AS DOUBLE))
+  THEN 'train' WHEN i < floor(n * CAST(0.8 AS DOUBLE)) THEN 'validation' ELSE 'test' END AS part FROM p"""
+)
+def validation_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Training, validation and test part of every series."""
+    frame = weekly_weather(spark, folder).select("station", "Date")
+    return splitting.validation_split(frame, WEEKLY)
+
+
 @query(
     f"""WITH {ORDERS_SQL}, p AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS i,
   count(*) OVER () AS n FROM o) SELECT o_orderkey, i < floor(n * CAST(0.8 AS DOUBLE)) AS is_train FROM p"""

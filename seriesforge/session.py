@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -48,14 +50,19 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "ser
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where that is unset (local tests) is a temporary folder chosen, once per session.
+    Only where that is unset and the master is local (tests) is a temporary folder chosen, once per session, and
+    removed with the process. On a cluster each executor would write to its own disk, so there it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="seriesforge-"))
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="seriesforge-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 

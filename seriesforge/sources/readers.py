@@ -16,8 +16,8 @@ from seriesforge.specs import TIME, VALID_RANGES, WEATHER_SCHEMA
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A parquet table; a missing path raises Spark's own PATH_NOT_FOUND."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A parquet table with NaN as NULL; a missing path raises Spark's own PATH_NOT_FOUND."""
+    return normalise_nan(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def normalise_nan(df: DataFrame) -> DataFrame:
@@ -98,4 +98,4 @@ def read_results(spark: SparkSession, path: str, schema: str, form: str = "csv")
         return reader.option("header", True).csv(path)
     if form == "json":
         return reader.json(path)
-    return spark.read.parquet(path)
+    return normalise_nan(spark.read.parquet(path))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -31,9 +30,3 @@ def append_metrics(existing: DataFrame | None, added: DataFrame) -> DataFrame:
     Write the result to a new path: Spark does not overwrite what it reads.
     """
     return added if existing is None else existing.unionByName(added, allowMissingColumns=True)
-
-
-def csv_safe(df: DataFrame) -> DataFrame:
-    """Maps and arrays as JSON text, for sinks that hold flat values only."""
-    nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("map", "array", "struct")]
-    return df.withColumns({c: F.to_json(c) for c in nested})

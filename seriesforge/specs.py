@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from typing import Any
 
 import yaml
@@ -134,6 +134,11 @@ class FeatureSpec:
     dry_months: tuple[int, ...] = ()
     products: tuple[tuple[str, str], ...] = ()
 
+    @property
+    def any_asked(self) -> bool:
+        """Whether any feature is asked for, also one that looks back on no rows."""
+        return any(getattr(self, f.name) for f in fields(self))
+
     @property
     def horizon(self) -> int:
         """Rows of history the widest feature looks back."""
@@ -146,8 +151,8 @@ class FeatureSpec:
         """Read the accepted config forms.
 
         Lags come as ``"temp_lag_2"`` (short base names are resolved) or as
-        ``{column, lags}`` (used as written); averages as ``{base: [windows]}`` or
-        as a list of ``{column, windows}``, named after the full column.
+        ``{column, lags}`` (used as written); averages as ``{base: [windows]}``, as
+        ``{"temp_ma_3": 3}`` (used as written), or as a list of ``{column, windows}``, named after the full column.
         """
         lags: list[Derived] = []
         for entry in section.get("lag_features", []):
@@ -162,6 +167,10 @@ class FeatureSpec:
         pairs = forms.items() if isinstance(forms, dict) else [(f["column"], f["windows"]) for f in forms]
         averages: list[Derived] = []
         for base, windows in pairs:
+            if isinstance(windows, int):
+                source = base.rpartition("_ma_")[0] or base
+                averages.append(Derived(base, SHORT_NAMES.get(source, source), windows))
+                continue
             column = SHORT_NAMES.get(base, base)
             averages += [Derived(f"{column}_ma_{w}", column, int(w)) for w in windows]
 

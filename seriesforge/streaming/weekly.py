@@ -10,17 +10,25 @@ from pyspark.sql import functions as F
 
 from seriesforge.operators.quality import clip_to_ranges
 from seriesforge.session import scratch_path
+from seriesforge.sources.readers import normalise_nan
 from seriesforge.specs import TIME
 
 MONDAY_OFFSET = "4 days"  # windows count from a Thursday
 
 
 def read_stream(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet file or folder as a stream, with the schema of the files already there.
+    """A parquet file or folder as a stream, with the schema of the files already there and NaN as NULL.
 
-    The pattern form of the path also accepts a single file, which a stream otherwise rejects.
+    A stream reads folders only: a single file is the one of its name in its folder.
     """
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+    there = spark.read.parquet(path)
+    reader = spark.readStream.schema(there.schema)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    single = there.select("_metadata.file_path").limit(1).collect()
+    if single and single[0][0].rpartition("/")[2] == name:
+        literal = "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in name)
+        return normalise_nan(reader.option("pathGlobFilter", literal).parquet(folder or "/"))
+    return normalise_nan(reader.parquet(path))
 
 
 def weekly_stream(

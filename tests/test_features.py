@@ -26,10 +26,7 @@ CONFIG = {
 
 @pytest.fixture(scope="module")
 def builder(spark, sunday):
-    temp = [25, 26, 27, 28, 29, 30, 29, 28, 27, 26]
-    hum = [50, 55, 60, 65, 70, 75, 70, 65, 60, 55]
-    rain = [0, 5, 10, 15, 20, 25, 20, 15, 10, 5]
-    rows = [(1, d, float(t), float(h), float(r)) for d, t, h, r in zip(sunday, temp, hum, rain)]
+    rows = [(1, d, 21.5 + i % 4, 90.0 - 3 * i, float(i * i % 17)) for i, d in enumerate(sunday[:10])]
     return spark.createDataFrame(rows, "station int, Date date, temp double, humidity double, rain double")
 
 
@@ -54,6 +51,8 @@ def test_config_forms():
         ("humidity_lag_2", "humidity", 2),
     ]
     assert [d.name for d in spec.averages] == ["temp2_ma_3", "rain_ma_2"]
+    named = FeatureSpec.from_config({"moving_averages": {"temp_ma_3": 3, "humidity": [2]}})
+    assert [(d.name, d.source, d.size) for d in named.averages][0] == ("temp_ma_3", "Temp_avg", 3)
     table = FeatureSpec.from_config({"moving_averages": {"precipitation": [3, 4]}})
     assert [d.name for d in table.averages] == ["Precipitation_mm_ma_3", "Precipitation_mm_ma_4"]
     assert spec.horizon == 2
@@ -97,9 +96,9 @@ def test_feature_table_keeps_essentials_and_target(weather, by_station):
 def test_partial_and_past_windows(builder, by_station):
     d = [Derived("m", "temp", 3)]
     partial = windows.window_features(builder, by_station, averages=d, partial=True).orderBy("Date").first()
-    assert partial["m"] == 25.0
+    assert partial["m"] == 21.5
     past = windows.window_features(builder, by_station, averages=d, exclude_current=True).orderBy("Date").collect()
-    assert [r["m"] for r in past[:4]] == [None, None, None, 26.0]
+    assert [r["m"] for r in past[:4]] == [None, None, None, 22.5]
 
 
 def test_rolling_std_is_the_sample_one(builder, by_station):
@@ -176,7 +175,7 @@ def test_week_label_is_the_closing_sunday(spark):
 
 def test_differences(builder, by_station):
     df = windows.difference(builder, by_station, "temp", 2).orderBy("Date").collect()
-    assert df[1]["temp_diff_2"] is None and df[6]["temp_diff_2"] == -2.0
+    assert df[1]["temp_diff_2"] is None and df[4]["temp_diff_2"] == -4.0
 
 
 def test_calendar_fills_missing_weeks(weather):

@@ -239,3 +239,16 @@ def test_partitioned_sink_prunes_years(spark, weather, tmp_path):
     with redirect_stdout(text):
         back.explain("formatted")
     assert back.count() == 10 and "PartitionFilters: [isnotnull(Year" in text.getvalue()
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from types import SimpleNamespace
+
+    from seriesforge.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    cluster = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(cluster)
+    cluster.conf = SimpleNamespace(get=lambda key, default=None: "hdfs:///shared")
+    assert shared_dir(cluster) == "hdfs:///shared"

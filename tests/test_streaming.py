@@ -40,3 +40,18 @@ def test_stream_clip_and_score(spark):
     low, high = scored.agg(F.min("value"), F.max("value")).first()
     assert low >= 5 and high <= 50
     assert scored.filter(F.abs(F.col("y_pred") - F.col("value") * 2 - 1) > 1e-6).count() == 0
+
+
+def test_stream_reads_one_table_only(spark, tmp_path):
+    """Neither siblings whose names begin alike nor other files of the folder; NaN becomes NULL."""
+    import shutil
+
+    for name, n in (("events", 3), ("other", 5)):
+        spark.range(n).selectExpr("id", "double('NaN') AS x").coalesce(1).write.parquet(str(tmp_path / f"w-{name}"))
+        (part,) = (tmp_path / f"w-{name}").glob("part-*.parquet")
+        shutil.copy(part, tmp_path / ("events.parquet" if name == "events" else "events.parquet_old"))
+    spark.range(7).write.parquet(str(tmp_path / "folder.parquet"))
+    spark.range(9).write.parquet(str(tmp_path / "folder.parquet_old"))
+    rows = weekly.run_to_table(spark, str(tmp_path / "events.parquet"), lambda s: s).collect()
+    assert len(rows) == 3 and all(r["x"] is None for r in rows)
+    assert weekly.run_to_table(spark, str(tmp_path / "folder.parquet"), lambda s: s).count() == 7
