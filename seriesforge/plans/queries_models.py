@@ -59,9 +59,8 @@ UNION ALL SELECT '{AVERAGE}', {dbl('wb', 'coefficient')}, {dbl('abs(wb)', 'impor
   {dbl('my - wa * ma - wb * mb', 'intercept')} FROM w"""
 )
 def multiple_regression(spark: SparkSession, folder: str) -> DataFrame:
-    """Two-feature least squares by Spark ML's normal-equation solver."""
-    frame = linear.assemble(past_features(spark, folder), [LAG, AVERAGE])
-    fit = linear.as_fit(linear.linear_estimator(TARGET).fit(frame), [LAG, AVERAGE])
+    """Two-feature least squares from means and covariances."""
+    fit = linear.Moments.of(past_features(spark, folder), [LAG, AVERAGE], TARGET).fit()
     return fit.table(spark).withColumn("intercept", F.lit(fit.intercept))
 
 
