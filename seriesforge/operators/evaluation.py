@@ -17,12 +17,19 @@ METRICS = ("MAE", "MSE", "RMSE", "R2")
 LOWER_IS_BETTER = {"MAE": True, "MSE": True, "RMSE": True, "MAPE": True, "R2": False, "AUC_ROC": False}
 
 
-def long_predictions(df: DataFrame, actual: str, predicted: dict[str, str], keep: Sequence[str]) -> DataFrame:
-    """Columns of predictions, one per model, in long form; rows without a prediction are left out."""
+def long_predictions(
+    df: DataFrame, actual: str, predicted: dict[str, str], keep: Sequence[str], common: bool = True
+) -> DataFrame:
+    """Columns of predictions, one per model, in long form.
+
+    Only rows that every model predicts are kept, so that metrics compare models on the same rows; without ``common``
+    each model keeps the rows it predicts.
+    """
     pairs = F.array(
         *[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("y_pred")) for m, c in predicted.items()]
     )
-    long = df.select(*keep, F.col(actual).cast("double").alias("y_true"), F.inline(pairs))
+    rows = df.dropna(subset=[actual, *predicted.values()]) if common else df
+    long = rows.select(*keep, F.col(actual).cast("double").alias("y_true"), F.inline(pairs))
     return long.filter(F.col("y_pred").isNotNull() & F.col("y_true").isNotNull())
 
 

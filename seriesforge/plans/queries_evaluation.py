@@ -17,7 +17,7 @@ HEAVY = 75.0
 KEYS = ["station", "Date"]
 
 
-def forecasts(spark: SparkSession, folder: str) -> DataFrame:
+def forecasts(spark: SparkSession, folder: str, common: bool = True) -> DataFrame:
     """Persistence, and the mean of the three preceding weeks, in long form."""
     frame = weekly_weather(spark, folder).select("station", "Date", TARGET)
     wide = window_features(
@@ -27,15 +27,15 @@ def forecasts(spark: SparkSession, folder: str) -> DataFrame:
         averages=average_columns([TARGET], (3,)),
         exclude_current=True,
     )
-    return ev.long_predictions(wide, TARGET, {"lag_1": f"{TARGET}_lag_1", "ma_3": f"{TARGET}_ma_3"}, KEYS)
+    return ev.long_predictions(wide, TARGET, {"lag_1": f"{TARGET}_lag_1", "ma_3": f"{TARGET}_ma_3"}, KEYS, common)
 
 
 _PAST = 'OVER (PARTITION BY station ORDER BY "Date" ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)'
 FORECAST_SQL = f"""{WEEKLY_SQL}, wide AS (SELECT station, "Date", "{TARGET}" AS y,
   lag("{TARGET}", 1) OVER (PARTITION BY station ORDER BY "Date") AS lag_1,
   CASE WHEN count("{TARGET}") {_PAST} = 3 THEN avg("{TARGET}") {_PAST} END AS ma_3 FROM weekly),
-f AS (SELECT station, "Date", y, 'lag_1' AS model, lag_1 AS p FROM wide WHERE lag_1 IS NOT NULL
-  UNION ALL SELECT station, "Date", y, 'ma_3', ma_3 FROM wide WHERE ma_3 IS NOT NULL),
+f AS (SELECT station, "Date", y, 'lag_1' AS model, lag_1 AS p FROM wide WHERE lag_1 IS NOT NULL AND ma_3 IS NOT NULL
+  UNION ALL SELECT station, "Date", y, 'ma_3', ma_3 FROM wide WHERE lag_1 IS NOT NULL AND ma_3 IS NOT NULL),
 m AS (SELECT model, CAST(count(*) AS BIGINT) AS n, avg(abs(y - p)) AS mae, avg((y - p) * (y - p)) AS mse,
   1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2, avg(abs((y - p) / (y + 1e-8))) * 100 AS mape,
   avg(y - p) AS mr, stddev_pop(y - p) AS sr FROM f GROUP BY model)"""
@@ -116,7 +116,7 @@ def residual_table(spark: SparkSession, folder: str) -> DataFrame:
   {dbl('ma_3', 'ma_3_pred')} FROM wide WHERE lag_1 IS NOT NULL"""
 )
 def pred_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    return ev.prediction_table(forecasts(spark, folder), MODELS, KEYS)
+    return ev.prediction_table(forecasts(spark, folder, common=False), MODELS, KEYS)
 
 
 _CELLS = f"""c AS (SELECT model, CAST(count(CASE WHEN y > {HEAVY} AND p > {HEAVY} THEN 1 END) AS BIGINT) AS tp,
