@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 from seriesforge.llm.common import prepare, utf8
 
 CACHED_PIECES = 250_000
+#: Bytes of text taken through the scan together, or one text if that is longer.
+SCAN_BYTES = 1 << 20
 _BLOCK = 256
 #: Longer pieces are merged with a heap.
 _LONG_PIECE = 64
@@ -143,27 +145,30 @@ def token_starts(points: np.ndarray) -> np.ndarray:
     return np.flatnonzero(marks.T.ravel()[:n])
 
 
+_NO_RANK = 1 << 60
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     """Join the neighbouring pair of lowest rank, leftmost first, until no pair has a rank."""
     if piece in ranks:
         return (ranks[piece],)
-    if len(piece) > _LONG_PIECE:
+    n = len(piece)
+    if n > _LONG_PIECE:
         return _merge_long(piece, ranks)
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    none = len(ranks) + 1
-    pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
+    rank_of = ranks.get
+    cuts = list(range(n + 1))  # part i is piece[cuts[i] : cuts[i + 1]]
+    pairs = [rank_of(piece[i : i + 2], _NO_RANK) for i in range(n - 1)]
     while pairs:
         least = min(pairs)
-        if least == none:
+        if least == _NO_RANK:
             break
         i = pairs.index(least)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
+        del cuts[i + 1], pairs[i]
         if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+            pairs[i] = rank_of(piece[cuts[i] : cuts[i + 2]], _NO_RANK)
         if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
-    return tuple([ranks[p] for p in parts])
+            pairs[i - 1] = rank_of(piece[cuts[i - 1] : cuts[i + 1]], _NO_RANK)
+    return tuple([ranks[piece[a:b]] for a, b in zip(cuts, cuts[1:])])
 
 
 def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
@@ -221,6 +226,17 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 def encode_batch(texts: list[bytes], pieces: _Pieces) -> Iterator[list[int]]:
     """Ids of each text."""
+    size, begin = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > SCAN_BYTES:
+            yield from _encode_together(texts[begin:i], pieces)
+            size, begin = 0, i
+        size += len(text)
+    if begin < len(texts):
+        yield from _encode_together(texts[begin:], pieces)
+
+
+def _encode_together(texts: list[bytes], pieces: _Pieces) -> Iterator[list[int]]:
     read = [t.decode() for t in texts]
     points = np.frombuffer("\0".join(read).encode("utf-32-le"), np.uint32).copy()
     points[(np.cumsum([len(t) + 1 for t in read]) - 1)[:-1]] = _GAP
@@ -265,9 +281,9 @@ def encode(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = list(encode_batch(list(utf8(batch.column("_utf8"))), pieces))
+            ids = [np.array(i, np.int32) for i in encode_batch(list(utf8(batch.column("__utf8"))), pieces)]
             out = {name: batch.column(name) for name in names}
-            flat = pa.array(np.fromiter(chain.from_iterable(ids), np.int32, sum(map(len, ids))))
+            flat = pa.array(np.concatenate(ids))
             cuts = pa.array([0, *accumulate(map(len, ids))], pa.int32())
             out[ids_col] = pa.ListArray.from_arrays(cuts, flat)
             if ends_col:
@@ -278,7 +294,7 @@ def encode(
     fields = [docs.schema[c] for c in names] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))]
     if ends_col:
         fields.append(T.StructField(ends_col, T.ArrayType(T.LongType())))
-    given = docs.select(*names, F.col(text_col).cast("binary").alias("_utf8"))
+    given = docs.select(*names, F.col(text_col).cast("binary").alias("__utf8"))
     return given.mapInArrow(run, T.StructType(fields))
 
 
@@ -292,8 +308,8 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "ids", bytes_c
         tokens = shared.value
         for batch in batches:
             ids = batch.column(ids_col)
-            flat, cuts = ids.flatten().to_pylist(), np.concatenate(([0], np.cumsum(ids.value_lengths().fill_null(0)))).tolist()
-            texts = [b"".join([tokens[i] for i in flat[a:b]]) for a, b in zip(cuts, cuts[1:])]
+            flat, cuts = ids.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(ids.value_lengths().fill_null(0)))).tolist()
+            texts = [b"".join(map(tokens.__getitem__, flat[a:b].tolist())) for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in names} | {bytes_col: pa.array(texts, pa.binary())})
 
     fields = [encoded.schema[c] for c in names] + [T.StructField(bytes_col, T.BinaryType())]
