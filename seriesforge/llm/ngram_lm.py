@@ -32,20 +32,27 @@ from seriesforge.llm.common import prepare, stored, utf8
 ORDER = 2
 BACKOFF = 0.4
 UNSEEN = 0.5
-BATCH_TEXT = 12 << 20
+BATCH_TEXT = 5 << 20
 #: Text whose n-grams one count table holds.
 TABLE_TEXT = 24 << 20
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+    """Arrays of 64-bit numbers, byte by byte: first the lowest bytes of all, so that high zeros cost nothing."""
+    planes = [a.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
 def _loose(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
+def _numbers(blob: bytes, arrays: int) -> list[np.ndarray]:
+    raw = np.frombuffer(_loose(blob), np.uint8).reshape(arrays, 8, -1)
+    return [np.ascontiguousarray(planes.T).view("<u8").ravel() for planes in raw]
+
+
 def in_batches(docs: DataFrame, limit: int = BATCH_TEXT) -> DataFrame:
     """(batch, doc_ids, sizes, texts): documents laid end to end, compressed."""
 
@@ -88,11 +95,12 @@ class Grams:
             lengths.append(len(own))
             at += size
         self.lengths = np.array(lengths, np.int64)
-        self.doc = np.repeat(np.arange(len(sizes)), self.lengths)
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), self.lengths)
         numbers: dict[bytes, int] = {}
-        ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+        ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words))
+        del words, data
         one = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in numbers), np.uint64, len(numbers))[ids]
-        place = np.arange(len(words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        place = np.arange(len(ids)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
         self.distinct, self.which, self.counts = [], [], []
         run = one
         for n in range(1, order + 1):
@@ -100,7 +108,7 @@ class Grams:
                 run = (run[:-1] ^ (run[:-1] >> np.uint64(31))) * _MULTIPLY + one[n - 1 :]
             inside = place[n - 1 :] >= n - 1
             distinct, inverse, counts = np.unique(run[inside], return_inverse=True, return_counts=True)
-            which = np.full(len(words), -1, np.int64)
+            which = np.full(len(ids), -1, np.int32)
             which[n - 1 :][inside] = inverse
             self.distinct.append(distinct)
             self.which.append(which)
@@ -126,7 +134,7 @@ def exploded(batches: DataFrame, order: int, tables: int) -> DataFrame:
                         a, b = cuts[t], cuts[t + 1]
                         if b > a:
                             own = grams.distinct[n][a:b]
-                            out.append((t, name, n, _squeeze(np.array([b - a]), np.diff(own, prepend=np.uint64(0)), grams.counts[n][a:b].astype(np.int32))))
+                            out.append((t, name, n, _squeeze(np.diff(own, prepend=np.uint64(0)), grams.counts[n][a:b])))
                 if out:
                     kinds = (pa.int32(), pa.string(), pa.int32(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], names=["table", "batch", "part", "grams"])
@@ -135,9 +143,8 @@ def exploded(batches: DataFrame, order: int, tables: int) -> DataFrame:
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = _loose(blob)
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    return np.cumsum(np.frombuffer(raw, np.uint64, n, 8), dtype=np.uint64), np.frombuffer(raw, np.int32, n, 8 + 8 * n).astype(np.int64)
+    steps, counts = _numbers(blob, 2)
+    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
 
 
 def answers(grams: DataFrame) -> DataFrame:
@@ -180,7 +187,7 @@ def _scores(grams: Grams, totals: list[np.ndarray], tokens: int, backoff: float)
     for which, total in zip(grams.which, totals):
         own = np.zeros(n, np.int64)
         real = np.flatnonzero(which >= 0)
-        pair = grams.doc[real] * np.int64(len(total) + 1) + which[real]
+        pair = grams.doc[real].astype(np.int64) * (len(total) + 1) + which[real]
         _, inverse, counts = np.unique(pair, return_inverse=True, return_counts=True)
         own[real] = total[which[real]] - counts[inverse]
         outside.append(own)
@@ -210,7 +217,7 @@ def score(docs: DataFrame, *, order: int = ORDER, backoff: float = BACKOFF, batc
                 totals = []
                 for part in range(order):
                     mine = sorted((g["table"], g["totals"]) for g in got or [] if g["part"] == part)
-                    totals.append(np.frombuffer(b"".join(_loose(t) for _, t in mine), np.int64))
+                    totals.append(np.concatenate([np.zeros(0, np.int64), *[_numbers(t, 1)[0].astype(np.int64) for _, t in mine]]))
                 values = _scores(grams, totals, tokens, backoff)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(grams.lengths), pa.array(values)], names=["doc_id", "n_tokens", "log_score"]
