@@ -3,7 +3,7 @@
 The patterns are applied to UTF-8 bytes (so that letter case is ASCII only) and reported in code points. The
 dynamic programme finds the cheapest way to guess a value as a sequence of known words, dates, repeats, keyboard
 walks and brute-force spans; a value that costs ``MIN_BITS`` or more is a secret. It judges the values that follow
-a credential word and an assignment, and adds those that no pattern covers.
+a credential word and an assignment, and adds those that patterns do not cover completely, beside the patterns' spans.
 
 Defined results: NULL and empty texts have no spans; repeated rows are scanned alike; the cost of a value is linear
 in its length, so long values are judged whole; an empty table gives no rows; further columns are ignored.
@@ -12,6 +12,7 @@ in its length, so long values are judged whole; an empty table gives no rows; fu
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
 from math import log2
 
@@ -136,12 +137,16 @@ def spans_of(text: bytes, min_bits: float = MIN_BITS) -> list[tuple[int, int, st
     if b"h" * _LEAST["hex"] in text.translate(_HEX_CLASS):
         found += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text) if len(m[0]) >= _LEAST["hex"]]
     if any(h in low for h in _CONTEXT_HINTS):
-        fixed = sorted(found)
-        begins = [s for s, _, _ in fixed]
-        reach = np.maximum.accumulate([e for _, e, _ in fixed]).tolist() if fixed else []
+        covered: list[list[int]] = []  # runs of bytes that patterns cover, in order
+        for start, end, _ in sorted(found):
+            if covered and start <= covered[-1][1]:
+                covered[-1][1] = max(covered[-1][1], end)
+            else:
+                covered.append([start, end])
+        begins = [start for start, _ in covered]
         for m in _CONTEXT.finditer(text):
-            before = int(np.searchsorted(begins, m.end(1)))  # patterns that begin before the value ends
-            if before and reach[before - 1] > m.start(1):
+            before = bisect_right(begins, m.start(1))  # runs that begin at the value or before it
+            if before and covered[before - 1][1] >= m.end(1):
                 continue
             if guess_bits(m[1].decode("utf-8", "replace")) >= min_bits:
                 found.append((m.start(1), m.end(1), "guess"))

@@ -77,3 +77,12 @@ def test_redaction(spark, docs_of):
         else:
             assert S.MARK in out[i]["text"] and plain(out[i]["text"]) == [] and out[i]["n_chars"] == len(out[i]["text"])
     assert S.redact(docs_of([])).count() == 0 and S.scan(docs_of([])).count() == 0
+
+
+def test_values_that_a_pattern_covers_in_part(spark, docs_of):
+    texts = ["password=Correcthorse12!Zx$9#kq end", "pwd: Zq!0123456789abcdef$W9 end", "password=Correcthorse12Zx9kq end", "token=abcdefghijkl!x"]
+    spans = [S.spans_of(t.encode()) for t in texts]
+    assert spans[0] == [(0, 23, "assign"), (9, 31, "guess")] and spans[1] == [(5, 27, "guess"), (8, 24, "hex")]
+    assert spans[2] == [(0, 28, "assign")]  # covered completely
+    out = {r["doc_id"]: r["text"] for r in S.redact(docs_of(texts)).collect()}
+    assert out[0] == "[SECRET] end" and out[1] == "pwd: [SECRET] end" and out[2] == "[SECRET] end"
