@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesforge.llm import bpe, chat, decontaminate, neighbours, ngram_lm, repeats, secrets, simhash, toxicity, warc
+from seriesforge.llm import bpe, chat, collocations, decontaminate, fim, neighbours, ngram_lm, repeats, secrets, simhash, toxicity, warc
 from seriesforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -63,6 +63,14 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digest(fim.transform(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 OP1_SQL = r"""
 WITH h AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
@@ -197,6 +205,61 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+n AS (SELECT lang, count(*) AS n FROM t GROUP BY lang),
+one AS (SELECT lang, a, count(*) AS f FROM t GROUP BY ALL),
+two AS (SELECT lang, a, b, count(*) AS f FROM t WHERE b IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+three AS (SELECT lang, a, b, c, count(*) AS f FROM t WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, a, b, max(f) AS f FROM (SELECT lang, a, b, f FROM three UNION ALL SELECT lang, b, c, f FROM three) GROUP BY ALL),
+cuts AS (
+  SELECT t.lang, t.a || ' ' || t.b AS phrase, t.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM two t JOIN one x ON x.lang = t.lang AND x.a = t.a JOIN one y ON y.lang = t.lang AND y.a = t.b
+  LEFT JOIN longer g ON g.lang = t.lang AND g.a = t.a AND g.b = t.b WHERE g.f IS NULL OR 100 * g.f < 50 * t.f
+  UNION ALL
+  SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, t.f, x.f, y.f, 1
+  FROM three t JOIN one x ON x.lang = t.lang AND x.a = t.a JOIN two y ON y.lang = t.lang AND y.a = t.b AND y.b = t.c
+  UNION ALL
+  SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, t.f, x.f, y.f, 2
+  FROM three t JOIN two x ON x.lang = t.lang AND x.a = t.a AND x.b = t.b JOIN one y ON y.lang = t.lang AND y.a = t.c),
+s AS (SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM m)
+SELECT lang, rank, phrase, a, l, r.r AS r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+OP12_SQL = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || doc_id) AS hex
+  FROM documents),
+h AS (
+  SELECT *, len(u) AS n, CAST('0x' || substr(hex, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(hex, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(hex, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(hex, 25, 8) AS BIGINT) AS h4
+  FROM u),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+p AS (
+  SELECT *, array_to_string(u[1 : i], '') AS prefix, array_to_string(u[i + 1 : j], '') AS middle, array_to_string(u[j + 1 : n], '') AS suffix
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op2_simhash": op2_simhash,
@@ -208,6 +271,8 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_ngram_lm": op9_ngram_lm,
     "op10_nearest": op10_nearest,
+    "op11_collocations": op11_collocations,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 SQL = {
@@ -217,4 +282,6 @@ SQL = {
     "op8_decontaminate": OP8_SQL,
     "op9_ngram_lm": OP9_SQL,
     "op10_nearest": OP10_SQL,
+    "op11_collocations": OP11_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
