@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,9 +64,7 @@ def require_both_parts(df: DataFrame) -> None:
 
 def yearly_split(df: DataFrame, spec: SeriesSpec, test_size: float = 0.2) -> DataFrame:
     """The chronological split within each calendar year of each series."""
-    yearly = SeriesSpec(
-        (*spec.keys, "_year"), spec.time, spec.tie, spec.regular, spec.bucket, spec.tie_splits, spec.block_rows
-    )
+    yearly = replace(spec, keys=(*spec.keys, "_year"))
     return chronological_split(df.withColumn("_year", F.year(spec.time)), yearly, test_size).drop("_year")
 
 

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from seriesforge.operators.ordering import (
     BROADCAST_ROWS,
-    bucket_borders,
     bucket_totals,
     count_groups,
     join_group_table,
+    order_cells,
     with_scalar,
 )
+from seriesforge.session import materialize
+from seriesforge.specs import CELL_ROWS
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -35,44 +37,41 @@ def percentiles(
     columns: Sequence[str],
     probabilities: Sequence[float] = QUARTILES,
     bounded: bool = False,
-    buckets: int = 512,
+    cell_rows: int = CELL_ROWS,
     groups: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles: one row per (by, column) with an array ``q``.
 
     ``bounded=True`` promises groups that fit a task (a series of weeks, say) and
     uses the built-in aggregate, which keeps a group's distinct values in memory.
-    Otherwise no group is ever brought together: values are counted per bucket,
-    the running counts tell which buckets hold the wanted ranks, and only the
-    values of those buckets are shuffled and ordered; raise ``buckets`` with the
-    size of the largest group.
+    Otherwise no group is ever brought together: the values are written once, groups
+    of more than ``cell_rows`` values are split into cells, and only cells that hold a
+    wanted rank are split further, shuffled and ordered.
     """
     by = list(by)
     probabilities = list(probabilities)
     if bounded:
         return melt(df, by, columns).groupBy(*by, "column").agg(_builtin(probabilities).alias("q"))
 
-    borders = bucket_borders(df, columns, buckets)
     groups = count_groups(df, by) if groups is None else groups
-    names = {c: f"_bucket_{c}" for c in columns}
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(b).alias("_bucket"))
-            for c, b in names.items()
-        ]
-    )
-    long = borders.apply(df.select(*by, *columns), names).select(*by, F.inline(pairs), F.lit(1).alias("n"))
-    long = long.filter(F.col("value").isNotNull())
     group = [*by, "column"]
-
-    ranks = []
-    for i, p in enumerate(probabilities):
-        position = F.lit(p) * (F.col("n_total") - 1)
-        ranks += [(f"_lo{i}", F.floor(position)), (f"_hi{i}", F.ceil(position))]
-    touched = [(r >= F.col("_off_n")) & (r < F.col("_off_n") + F.col("_in_n")) for _, r in ranks]
-    wanted = bucket_totals(long, group, ["n"]).filter(_any(touched)).drop("_in_n")
-    # At most two buckets per group, column and probability are wanted.
-    if groups * len(columns) * len(ranks) <= BROADCAST_ROWS:
+    values = materialize(melt(df, by, columns).withColumn("n", F.lit(1)))
+
+    def ranks(total: str) -> list[tuple[str, Column]]:
+        out = []
+        for i, p in enumerate(probabilities):
+            position = F.lit(p) * (F.col(total) - 1)
+            out += [(f"_lo{i}", F.floor(position)), (f"_hi{i}", F.ceil(position))]
+        return out
+
+    def holds_a_rank(before: str, n: str, total: str) -> Column:
+        return _any([(r >= F.col(before)) & (r < F.col(before) + F.col(n)) for _, r in ranks(total)])
+
+    cells = order_cells(values, group, ["value"], cell_rows, lambda: holds_a_rank("_before", "_n", "_total"), stored=True)
+    long = cells.apply(values, "_bucket")
+    wanted = bucket_totals(long, group, ["n"]).filter(holds_a_rank("_off_n", "_in_n", "n_total")).drop("_in_n")
+    # At most two cells per group, column and probability are wanted.
+    if groups * len(columns) * 2 * len(probabilities) <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
 
     keep = [*group, "_bucket", "_off_n", "n_total"]
@@ -83,7 +82,7 @@ def percentiles(
     inside = inside.withColumn("_end", F.col("_off_n") + F.sum("n").over(window))
     picks = [
         F.max(F.when((r < F.col("_end")) & (r >= F.col("_end") - F.col("n")), F.col("value"))).alias(name)
-        for name, r in ranks
+        for name, r in ranks("n_total")
     ]
     found = inside.groupBy(*group).agg(F.max("n_total").alias("n_total"), *picks)
     values = []

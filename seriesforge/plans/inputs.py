@@ -10,9 +10,9 @@ from seriesforge.sources.readers import read_table
 from seriesforge.specs import SeriesSpec
 
 WEEKLY = SeriesSpec(keys=("station",))
-# Many orders share a day, so days are cut further by order key; small blocks let small data meet block borders.
-ORDER_DAYS = SeriesSpec(time="o_orderdate", tie=("o_orderkey",), bucket="day", tie_splits=32, block_rows=4096)
-EVENTS = SeriesSpec(keys=("user_id",), time="ts", tie=("event_id",), regular=False, bucket="hour", block_rows=64)
+# Small cells and blocks let small data meet their borders.
+ORDER_DAYS = SeriesSpec(time="o_orderdate", tie=("o_orderkey",), cell_rows=20_000, block_rows=4096)
+EVENTS = SeriesSpec(keys=("user_id",), time="ts", tie=("event_id",), regular=False, cell_rows=20_000, block_rows=64)
 
 
 def weekly_weather(spark: SparkSession, folder: str) -> DataFrame:

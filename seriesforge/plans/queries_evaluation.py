@@ -145,6 +145,18 @@ def class_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return ev.classification_metrics(ev.confusion_counts(forecasts(spark, folder), HEAVY))
 
 
+@query(
+    f"""WITH {FORECAST_SQL}, {_CELLS}, r AS (SELECT model, tp, fp, fn, tn, tp / CAST(tp + fp AS DOUBLE) AS pr,
+  tp / CAST(tp + fn AS DOUBLE) AS re, (tp / CAST(tp + fn AS DOUBLE) + tn / CAST(tn + fp AS DOUBLE)) / 2 AS auc FROM c)
+SELECT model, {dbl('(tp + tn) / CAST(tp + fp + fn + tn AS DOUBLE)', 'accuracy')}, {dbl('pr', 'precision')},
+  {dbl('re', 'recall')}, {dbl('2 * pr * re / (pr + re)', 'f1')}, {dbl('auc', 'auc_roc')},
+  CAST(row_number() OVER (ORDER BY auc DESC, model) AS INTEGER) AS rank FROM r"""
+)
+def class_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Models compared as event forecasts, the best by AUC first."""
+    return ev.rank_models(ev.classification_metrics(ev.confusion_counts(forecasts(spark, folder), HEAVY)), "auc_roc")
+
+
 _SCORES = f"""s AS (SELECT model, p AS score, count(CASE WHEN y > {HEAVY} THEN 1 END) AS pos,
   count(CASE WHEN y <= {HEAVY} THEN 1 END) AS neg FROM f GROUP BY 1, 2)"""
 

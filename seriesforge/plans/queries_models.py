@@ -10,16 +10,16 @@ from seriesforge.models import arima, linear, neighbors, network, training, tree
 from seriesforge.operators import evaluation as ev
 from seriesforge.operators.quality import drop_missing
 from seriesforge.operators.scaling import FittedScaler
-from seriesforge.operators.splitting import chronological_split, expanding_folds, expanding_pairs
+from seriesforge.operators.splitting import chronological_split, expanding_folds
 from seriesforge.operators.windows import window_features
 from seriesforge.plans.catalog import dbl, query
-from seriesforge.plans.features import engineered_features, numeric_features
+from seriesforge.plans.features import DEFAULT_FEATURES, engineered_features, numeric_features
 from seriesforge.plans.forecasting import forecast_run
 from seriesforge.plans.inputs import WEEKLY, WEEKLY_SQL, weekly_weather
 from seriesforge.plans.queries_evaluation import FORECAST_SQL
-from seriesforge.session import materialize
+from seriesforge.session import materialize, scratch_path
 from seriesforge.sources.readers import read_table
-from seriesforge.specs import HUMIDITY, MEASURES, TARGET, TEMPERATURE, WIND, average_columns, lag_columns
+from seriesforge.specs import HUMIDITY, MEASURES, TARGET, TEMPERATURE, WIND, ForecastSpec, average_columns, lag_columns
 from seriesforge.streaming.weekly import run_to_table, weekly_stream
 
 KEYS = ["station", "Date"]
@@ -206,21 +206,57 @@ def knn_weekly(spark: SparkSession, folder: str) -> DataFrame:
         neighbors.vectors(test, "row_id", features, "query"),
         neighbors.vectors(train, "row_id", features, "donor", TARGET),
         k=5,
-        cells=256,
     )
     return neighbors.neighbour_regression(found, (5,), ("uniform",))
 
 
 @query()
+def knn_hashed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same prediction from neighbours found by p-stable hashes; tests measure their recall."""
+    train, test, _ = scaled_split(spark, folder)
+    features = [TEMPERATURE, HUMIDITY, LAG]
+    found = neighbors.nearest_hashed(
+        neighbors.vectors(test, "row_id", features, "query"), neighbors.vectors(train, "row_id", features, "donor", TARGET), k=5
+    )
+    return neighbors.neighbour_regression(found, (5,), ("uniform",))
+
+
+# The search grid of neighbour regression, and its number of expanding folds.
+NEIGHBOUR_KS = (3, 5, 7, 9, 11, 15)
+NEIGHBOUR_WEIGHTS = ("uniform", "distance")
+NEIGHBOUR_PS = (1, 2)
+FOLDS = 5
+# End of fixed values.
+
+
+@query(
+    f"""WITH {_SCALED}, trn AS (SELECT row_id, row_id // 100000 AS station, a, b, c, y FROM sc WHERE NOT test),
+pos AS (SELECT *, row_number() OVER (PARTITION BY station ORDER BY row_id) - 1 AS i, count(*) OVER (PARTITION BY station) AS n FROM trn),
+fo AS (SELECT *, CASE WHEN i < n - (n // {FOLDS + 1}) * {FOLDS} THEN -1
+  ELSE (i - (n - (n // {FOLDS + 1}) * {FOLDS})) // (n // {FOLDS + 1}) END AS fold FROM pos),
+near AS (SELECT q.row_id, any_value(q.fold) AS fold, any_value(q.y) AS y,
+  min({{'d': round(abs(q.a - d.a) + abs(q.b - d.b) + abs(q.c - d.c), 9), 'id': d.row_id, 'y': d.y}}, 15) AS n1,
+  min({{'d': round(sqrt(pow(q.a - d.a, 2) + pow(q.b - d.b, 2) + pow(q.c - d.c, 2)), 9), 'id': d.row_id, 'y': d.y}}, 15) AS n2
+  FROM fo q JOIN fo d ON d.fold < q.fold WHERE q.fold >= 0 GROUP BY q.row_id),
+lists AS (SELECT row_id, fold, y, 1 AS p, n1 AS near FROM near UNION ALL SELECT row_id, fold, y, 2, n2 FROM near),
+ks AS (SELECT unnest([{", ".join(map(str, NEIGHBOUR_KS))}]) AS k),
+guess AS (SELECT fold, p, k, y, list_avg(list_transform(near[1:k], lambda s: s.y)) AS uniform,
+  CASE WHEN near[1].d = 0 THEN list_avg(list_transform(list_filter(near[1:k], lambda s: s.d = 0), lambda s: s.y))
+  ELSE list_sum(list_transform(near[1:k], lambda s: s.y / s.d)) / list_sum(list_transform(near[1:k], lambda s: 1 / s.d)) END AS weighted
+  FROM lists, ks),
+err AS (SELECT fold, p, k, 'uniform' AS weights, avg(pow(y - uniform, 2)) AS mse FROM guess GROUP BY ALL
+  UNION ALL SELECT fold, p, k, 'distance', avg(pow(y - weighted, 2)) FROM guess GROUP BY ALL)
+SELECT CAST(k AS INTEGER) AS k, weights, CAST(p AS INTEGER) AS p, {dbl('avg(mse)', 'mean_mse', 4)}, count(*) AS folds FROM err GROUP BY k, weights, p""",
+    digits=4,
+)
 def knn_tuning(spark: SparkSession, folder: str) -> DataFrame:
-    """k, weights and p over two expanding folds; distances once per fold and p."""
+    """All settings of k, weights and p over five expanding folds, from one list of neighbours per p."""
     train, _, _ = scaled_split(spark, folder)
-    features = [TEMPERATURE, HUMIDITY, LAG]
-    folds = []
-    for past, held in expanding_pairs(expanding_folds(train, WEEKLY, 2), 2):
-        queries = neighbors.vectors(held, "row_id", features, "query", TARGET)
-        folds.append((queries, neighbors.vectors(past, "row_id", features, "donor", TARGET)))
-    return neighbors.tune_neighbours(folds, (3, 5, 9), ps=(2,))
+    vector = F.array(*[F.col(c).cast("double") for c in (TEMPERATURE, HUMIDITY, LAG)])
+    rows = expanding_folds(train, WEEKLY, FOLDS).select(
+        F.col("row_id").cast("long").alias("query_id"), vector.alias("vector"), F.col(TARGET).cast("double").alias("target"), "test_fold"
+    )
+    return neighbors.tune_expanding(rows, NEIGHBOUR_KS, NEIGHBOUR_WEIGHTS, NEIGHBOUR_PS)
 
 
 _AR = f"""{WEEKLY_SQL}, w0 AS (SELECT station, 0 AS d, "Date", "{TARGET}" AS w FROM weekly),
@@ -273,7 +309,7 @@ def arima_holdout_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Orders fitted on the first four fifths of every series, judged on the last fifth."""
     split = chronological_split(weekly_weather(spark, folder).select(*KEYS, TARGET), WEEKLY)
     predictions = arima.forecast_holdout(
-        split.filter("is_train"), split.filter("NOT is_train"), WEEKLY, TARGET, p_range=(0, 1, 2), q_range=(0, 1)
+        split.filter("is_train"), split.filter("NOT is_train"), WEEKLY, TARGET, (0, 1, 2, 3), (0, 1, 2), (0, 1, 2, 3)
     )
     return ev.regression_metrics(predictions.withColumn("model", F.lit("arima")))
 
@@ -296,44 +332,68 @@ def unit_root_test(spark: SparkSession, folder: str) -> DataFrame:
     return tested.select("station", "n", "statistic", "critical_5", "stationary")
 
 
-def _trained(spark: SparkSession, folder: str):
+def _split_models(spark: SparkSession, folder: str, chosen=None):
+    """(models, test rows, features) trained on the first four fifths of every series."""
     wide, names = model_table(spark, folder)
     split = materialize(chronological_split(wide, WEEKLY))
+    estimators = training.default_estimators(TARGET, WEEKLY)
+    if chosen:
+        estimators = {n: estimators[n] for n in chosen}
+    models = training.train_all(split.filter("is_train"), names, TARGET, estimators, spec=WEEKLY)
+    return models, split.filter("NOT is_train")
+
+
+_STATUS_ROWS = " UNION ALL ".join(
+    f"SELECT '{m}' AS model" for m in ("linear_regression", "knn", "random_forest", "gradient_boosting", "neural_network", "arima")
+)
+
+
+@query(
+    f"""WITH {FORECAST_SQL}, pos AS (SELECT station, row_number() OVER (PARTITION BY station ORDER BY "Date") - 1 AS i,
+  count(*) OVER (PARTITION BY station) AS n FROM wide WHERE ma_3 IS NOT NULL),
+t AS (SELECT count(*) AS rows FROM pos WHERE i >= floor(n * CAST(0.8 AS DOUBLE)))
+SELECT model, 'success' AS status, t.rows AS predicted FROM ({_STATUS_ROWS}) m, t
+UNION ALL SELECT 'no_such_column', 'failed', NULL UNION ALL SELECT 'decision_tree', 'skipped', NULL"""
+)
+def model_status(spark: SparkSession, folder: str) -> DataFrame:
+    """All six models, one that fails and one not asked for: status, and the test rows each model predicts once loaded again."""
+    split = materialize(chronological_split(past_features(spark, folder), WEEKLY))
     estimators = {
-        "linear_regression": linear.linear_estimator(TARGET),
-        "random_forest": trees.forest(TARGET, n_estimators=20, max_depth=6),
-        "gradient_boosting": trees.boosting(TARGET, n_estimators=10, max_depth=3, learning_rate=0.1),
+        **training.default_estimators(TARGET, WEEKLY),
+        "no_such_column": linear.linear_estimator("absent"),
+        "decision_tree": trees.tree(TARGET),
     }
-    models = training.train_all(split.filter("is_train"), names, TARGET, estimators)
-    return models, split.filter("NOT is_train")
+    trained = training.train_all(split.filter("is_train"), [LAG, AVERAGE], TARGET, estimators, ["decision_tree"], WEEKLY)
+    path = scratch_path(spark, "models")
+    trained.save(spark, path)
+    models = training.TrainedModels.load(spark, path, [LAG, AVERAGE], TARGET)
+    predicted = models.predict(split.filter("NOT is_train"), KEYS, common=False)
+    counts = predicted.groupBy("model").agg(F.count("y_pred").alias("predicted"))
+    return models.status_table(spark).select("model", "status").join(counts, "model", "left")
 
 
 @query()
 def train_and_compare(spark: SparkSession, folder: str) -> DataFrame:
-    """Linear, forest and boosted models on the training weeks, ranked on the test weeks."""
-    models, test = _trained(spark, folder)
+    """All six models on the training weeks, ranked on the test weeks."""
+    models, test = _split_models(spark, folder)
     return ev.rank_models(ev.regression_metrics(models.predict(test, KEYS)))
 
 
 @query()
 def feature_importances(spark: SparkSession, folder: str) -> DataFrame:
-    models, _ = _trained(spark, folder)
+    models, _ = _split_models(spark, folder, ("linear_regression", "random_forest", "gradient_boosting"))
     return models.importances(spark)
 
 
 @query()
 def with_without_features(spark: SparkSession, folder: str) -> DataFrame:
-    """The gain of the engineered features per model."""
+    """The gain of the engineered features for each of the six models."""
     wide, names = model_table(spark, folder)
     split = materialize(chronological_split(wide, WEEKLY))
     train, test = split.filter("is_train"), split.filter("NOT is_train")
     tables = []
     for features in ([TEMPERATURE, HUMIDITY, WIND], names):
-        estimators = {
-            "linear_regression": linear.linear_estimator(TARGET),
-            "decision_tree": trees.tree(TARGET),
-        }
-        models = training.train_all(train, features, TARGET, estimators)
+        models = training.train_all(train, features, TARGET, spec=WEEKLY)
         tables.append(ev.regression_metrics(models.predict(test, KEYS)))
     return ev.compare_feature_sets(*tables)
 
@@ -360,20 +420,22 @@ def boosting_grid_search(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def network_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Loss per epoch of a small network trained data-parallel with a validation part."""
-    train, test, _ = scaled_split(spark, folder)
-    settings = network.NetworkSettings(layers=(8,), learning_rate=0.05, epochs=8, patience=4)
-    return network.train_network(train, [TEMPERATURE, HUMIDITY, LAG], TARGET, settings, test).history_table(spark)
+    """Loss per epoch of the network; the last fifth of the training weeks, not the test weeks, tells when to stop."""
+    train, _, _ = scaled_split(spark, folder)
+    parts = materialize(chronological_split(train.drop("is_train"), WEEKLY))
+    settings = network.NetworkSettings(dropout=0.2)
+    fitted = network.train_network(
+        parts.filter("is_train"), [TEMPERATURE, HUMIDITY, LAG], TARGET, settings, parts.filter("NOT is_train")
+    )
+    return fitted.history_table(spark)
 
 
 @query()
 def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
-    """Clean, derive, split, scale, train and rank, in original units."""
-    estimators = {
-        "linear_regression": linear.linear_estimator(TARGET),
-        "decision_tree": trees.tree(TARGET),
-    }
-    return forecast_run(weekly_weather(spark, folder), WEEKLY, estimators=estimators).regression
+    """Clean, derive, select, split, scale, train all six models and rank them, in original units, with the status of each."""
+    run = forecast_run(weekly_weather(spark, folder), WEEKLY, ForecastSpec(features=DEFAULT_FEATURES))
+    status = run.models.status_table(spark).select("model", "status")
+    return status.join(run.regression, "model", "left")
 
 
 @query(

@@ -209,6 +209,24 @@ def impute_knn(spark: SparkSession, folder: str) -> DataFrame:
     return impute(with_gaps(spark, folder), MEASURES, "knn", spec=WEEKLY)
 
 
+@query(
+    f"""WITH {_GAPS}, {_TRAIN}, m AS (SELECT avg("Temp_avg") AS mean FROM train), d AS (
+  SELECT q.station, q."Date", b."Temp_avg" AS donor,
+         row_number() OVER (PARTITION BY q.station, q."Date" ORDER BY
+           round(sqrt(4.0 / 3.0 * (pow(q."Relative_Humidity" - b."Relative_Humidity", 2) + pow(q."Wind_kmh" - b."Wind_kmh", 2)
+           + pow(q."Precipitation_mm" - b."Precipitation_mm", 2))), 9), b."Date") AS rk
+  FROM gaps q JOIN train b ON q.station = b.station AND b."Temp_avg" IS NOT NULL WHERE q."Temp_avg" IS NULL),
+f AS (SELECT station, "Date", avg(donor) AS filled FROM d WHERE rk <= 5 GROUP BY 1, 2)
+SELECT g.station, g."Date", {dbl('coalesce(g."Temp_avg", f.filled, mean)', 'Temp_avg')}, {dbls('Relative_Humidity', 'Wind_kmh', TARGET)}
+FROM m, gaps g LEFT JOIN f ON g.station = f.station AND g."Date" = f."Date\""""
+)
+def impute_knn_from_train(spark: SparkSession, folder: str) -> DataFrame:
+    """Only rows of the training period fill missing values, in every period."""
+    frame = with_gaps(spark, folder)
+    train = frame.filter(F.col("Date") < F.lit("2000-01-02").cast("date"))
+    return impute(frame, MEASURES, "knn", spec=WEEKLY, fit_on=train)
+
+
 def _quartiles_sql() -> str:
     return "q AS (SELECT " + ", ".join(
         f'quantile_cont("{c}", 0.25) AS "{c}_1", quantile_cont("{c}", 0.75) AS "{c}_3"' for c in MEASURES

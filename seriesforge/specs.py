@@ -39,6 +39,9 @@ RAIN_THRESHOLD = 0.1
 ESSENTIAL_FEATURES = (TEMPERATURE, HUMIDITY, WIND)
 # End of fixed values.
 
+#: Rows that one task may order.
+CELL_ROWS = 200_000
+
 WEATHER_SCHEMA = T.StructType(
     [T.StructField(TIME, T.DateType())] + [T.StructField(c, T.DoubleType()) for c in MEASURES]
 )
@@ -54,26 +57,22 @@ class SeriesSpec:
     can hold any number of rows; they are cut into blocks (see
     ``operators.ordering``) and never ordered in one task.
 
-    ``bucket`` is the calendar unit used to number the rows of such a series and
-    ``tie_splits`` divides each bucket further by the first tie column, for data
-    where a single time value may hold a large share of all rows.
+    ``cell_rows`` is how many rows of such a series one task may order, and
+    ``block_rows`` how many rows a block of its windows holds.
     """
 
     keys: tuple[str, ...] = ()
     time: str = TIME
     tie: tuple[str, ...] = ()
     regular: bool = True
-    bucket: str = "day"
-    tie_splits: int = 1
+    cell_rows: int = CELL_ROWS
     block_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
         for name in ("keys", "tie"):
             object.__setattr__(self, name, tuple(getattr(self, name)))
-        if self.tie_splits > 1 and not self.tie:
-            raise ValueError("tie_splits needs a tie column")
-        if self.block_rows < 1:
-            raise ValueError("block_rows must be positive")
+        if self.cell_rows < 1 or self.block_rows < 1:
+            raise ValueError("cell_rows and block_rows must be positive")
 
     @property
     def order(self) -> list[str]:

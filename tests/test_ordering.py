@@ -24,12 +24,74 @@ def ordered(df):
     return sorted(df.collect(), key=lambda r: (r["t"], r["id"]))
 
 
-@pytest.mark.parametrize("bucket,splits", [("day", 1), ("month", 1), ("day", 8)])
-def test_row_index_matches_a_global_order(long_series, bucket, splits):
-    spec = SeriesSpec(time="t", tie=("id",), bucket=bucket, tie_splits=splits)
+@pytest.mark.parametrize("cell", [2, 60, 5000])
+def test_row_index_matches_a_global_order(long_series, cell):
+    spec = SeriesSpec(time="t", tie=("id",), cell_rows=cell)
     assert [r["row_index"] for r in ordered(ordering.row_index(long_series, spec))] == list(range(1000))
 
 
+def largest_cell(cells, df, groups):
+    return cells.apply(df, "_cell").groupBy(*groups, "_cell").count().agg(F.max("count")).first()[0]
+
+
+def test_a_hot_day_is_split_by_its_ties(long_series):
+    cells = ordering.order_cells(long_series, [], ["t", "id"], 50)
+    assert largest_cell(cells, long_series, []) <= 50
+    by_day = cells.apply(long_series, "_cell").filter("t = DATE '2020-02-10'").select("_cell").distinct().count()
+    assert by_day >= 334 / 50
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_a_hot_hour_of_a_hot_user_is_split(spark, kind):
+    """A third of all rows in one hour of one user, most of them at one instant; ties are names."""
+    source = random.Random(9)
+    start = dt.datetime(2024, 3, 31, 1, 0, 0, 5)
+    rows = []
+    for i in range(900):
+        hot = i % 3 == 0
+        at = start + dt.timedelta(microseconds=source.randint(0, 3) if hot else source.randint(0, 10**12))
+        rows.append(("u0" if hot else f"u{source.randint(1, 40)}", at, f"name {i // 2 if i % 5 else i * 7919}-{i}"))
+    rows += [("u0", start, None), ("u0", start, "")]
+    df = spark.createDataFrame(rows, f"u string, ts {kind}, name string").repartition(5)
+    spec = SeriesSpec(keys=("u",), time="ts", tie=("name",), regular=False, cell_rows=20)
+    cells = ordering.order_cells(df, ["u"], ["ts", "name"], 20)
+    assert largest_cell(cells, df, ["u"]) <= 20 and len(cells.levels) > 1
+    got = {(r["u"], r["ts"], r["name"]): r["row_index"] for r in ordering.row_index(df, spec).collect()}
+    for u in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == u), key=lambda r: (r[1], r[2] is not None, (r[2] or "").encode()))
+        assert [got[r] for r in own] == list(range(len(own)))
+
+
+def test_cells_follow_any_numbers(spark):
+    """Doubles of every size, infinities, NaN and NULL; longs near the limits; decimals."""
+    source = np.random.default_rng(4)
+    x = [float(v) for v in source.normal(0, 1, 300) * 10.0 ** source.integers(-300, 300, 300)]
+    x += [0.0, -0.0, float("inf"), float("-inf"), float("nan"), None, 1e15, 1e15 + 0.25, 1e15 + 0.5] * 3
+    rows = [(i, v, (2**63 - 1 - i) if i % 2 else -(2**63) + i, f"{(i * 37) % 101}.{i % 10}") for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "i int, x double, n long, s string").selectExpr("*", "cast(s as decimal(12, 3)) AS d")
+    for column in ("x", "n", "d"):
+        cells = ordering.order_cells(df, [], [column], 4).apply(df, "_cell")
+        by_value = [r["i"] for r in cells.orderBy(column, "i").select("i").collect()]
+        by_cell = [r["i"] for r in cells.orderBy("_cell", column, "i").select("i").collect()]
+        assert by_cell == by_value
+        counts = cells.groupBy("_cell").agg(F.count("*").alias("n"), F.countDistinct(column).alias("values"))
+        assert counts.filter("n > 4 AND values > 1").isEmpty()
+
+
+def test_percentiles_of_a_hot_range(spark):
+    """Nine tenths of the values in a narrow range, half of those equal: cells that hold ranks stay small."""
+    source = np.random.default_rng(8)
+    x = np.concatenate([1 + source.random(900) * 1e-9, np.full(900, 1 + 5e-10), source.random(200) * 1e6])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(6)
+    probs = (0.1, 0.25, 0.5, 0.75, 0.97)
+    got = statistics.percentiles(df, [], ["x"], probs, cell_rows=30).first()["q"]
+    assert got == pytest.approx(list(np.quantile(x, probs)), rel=1e-15)
+    long = statistics.melt(df, [], ["x"])
+    cells = ordering.order_cells(long, ["column"], ["value"], 30)
+    sizes = cells.apply(long, "_cell").groupBy("_cell").agg(F.countDistinct("value").alias("values"), F.count("*").alias("n"))
+    assert sizes.filter("n > 30 AND values > 1").isEmpty()
+
+
 @pytest.mark.parametrize("block", [1, 5, 100, 5000])
 def test_blocked_windows_match_one_ordered_window(long_series, block):
     spec = SeriesSpec(time="t", tie=("id",), block_rows=block)
@@ -85,7 +147,7 @@ def test_percentiles_are_exact(spark, n, ties):
     df = spark.createDataFrame([("g", float(v), -float(v)) for v in values], "k string, x double, y double")
     probs = (0.0, 0.25, 0.5, 0.9, 1.0)
     for by in ([], ["k"]):
-        got = {r["column"]: r["q"] for r in statistics.percentiles(df, by, ["x", "y"], probs, buckets=8).collect()}
+        got = {r["column"]: r["q"] for r in statistics.percentiles(df, by, ["x", "y"], probs, cell_rows=8).collect()}
         assert got["x"] == pytest.approx(list(np.quantile(values, probs)))
         assert got["y"] == pytest.approx(list(np.quantile(-values, probs)))
 
@@ -100,7 +162,7 @@ def series(spark, n):
     return spark.createDataFrame([(dt.date(2020, 1, 1) + dt.timedelta(days=i), i) for i in range(n)], "Date date, id int")
 
 
-KEYLESS = SeriesSpec(tie=("id",), bucket="month")
+KEYLESS = SeriesSpec(tie=("id",), cell_rows=4)
 
 
 def test_split_sizes(spark):
@@ -153,7 +215,7 @@ def test_autocorrelation(spark, by_station):
     expected = [float((c[k:] * c[:-k]).sum() / (c * c).sum()) for k in range(1, 5)]
     got = [r["acf"] for r in windows.autocorrelation(df, by_station, "x", 4).orderBy("lag").collect()]
     assert got == pytest.approx(expected)
-    keyless = SeriesSpec(block_rows=20, bucket="month")
+    keyless = SeriesSpec(block_rows=20, cell_rows=30)
     assert [r["acf"] for r in windows.autocorrelation(df, keyless, "x", 4).orderBy("lag").collect()] == pytest.approx(expected)
     r = [1.0, *expected]
     pacf = []
