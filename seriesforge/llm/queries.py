@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesforge.llm import bpe, chat, collocations, decontaminate, fim, neighbours, ngram_lm, repeats, secrets, simhash, toxicity, warc
+from seriesforge.llm import bpe, chat, collocations, decontaminate, factorisation, fim, neighbours, ngram_lm, repeats, secrets, simhash, toxicity, warc
 from seriesforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -71,6 +71,10 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fim.digest(fim.transform(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return factorisation.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 OP1_SQL = r"""
 WITH h AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
@@ -273,6 +277,7 @@ QUERIES = {
     "op10_nearest": op10_nearest,
     "op11_collocations": op11_collocations,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_quality": op13_quality,
 }
 
 SQL = {
