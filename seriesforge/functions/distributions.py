@@ -52,6 +52,16 @@ def _fraction(a: float, b: float, x: float) -> float:
     return value
 
 
+def normal_cdf(z: Column) -> Column:
+    """P(Z <= z) of the standard normal distribution; meant for result tables of a row per series."""
+
+    @F.pandas_udf("double")
+    def below(values: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(v) else 0.5 * math.erfc(-v / math.sqrt(2.0)) for v in values], dtype="float64")
+
+    return below(z.cast("double"))
+
+
 def t_p_value(t: Column, freedom: Column) -> Column:
     """Two-sided p-value of a t statistic; meant for result tables of a few rows."""
 

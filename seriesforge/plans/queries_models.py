@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesforge.functions.scalar import clip as clip_column
-from seriesforge.models import arima, linear, neighbors, network, training, trees, tuning
+from seriesforge.models import arima, linear, logistic, neighbors, network, training, trees, tuning
 from seriesforge.operators import evaluation as ev
 from seriesforge.operators.quality import drop_missing
 from seriesforge.operators.scaling import FittedScaler
@@ -16,11 +16,11 @@ from seriesforge.plans.catalog import dbl, query
 from seriesforge.plans.features import DEFAULT_FEATURES, engineered_features, numeric_features
 from seriesforge.plans.forecasting import forecast_run
 from seriesforge.plans.inputs import WEEKLY, WEEKLY_SQL, weekly_weather
-from seriesforge.plans.queries_evaluation import FORECAST_SQL
+from seriesforge.plans.queries_evaluation import FORECAST_SQL, HEAVY
 from seriesforge.session import materialize, scratch_path
 from seriesforge.sources.readers import read_table
 from seriesforge.specs import HUMIDITY, MEASURES, TARGET, TEMPERATURE, WIND, ForecastSpec, average_columns, lag_columns
-from seriesforge.streaming.weekly import run_to_table, weekly_stream
+from seriesforge.streaming.weekly import correcting_weeks, read_stream, run_to_table, weekly_stream
 
 KEYS = ["station", "Date"]
 LAG, AVERAGE = f"{TARGET}_lag_1", f"{TARGET}_ma_3"
@@ -300,8 +300,9 @@ def constant_series_forecast(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def arima_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Best of 18 orders per series by AIC, and its forecast of the next eight weeks."""
-    best = arima.best_orders(arima.fit_orders(weekly_weather(spark, folder), WEEKLY, TARGET), ["station"])
-    return arima.forecast(best, ["station"], 8)
+    weekly = materialize(weekly_weather(spark, folder).select(*KEYS, TARGET))
+    fits = arima.refine_orders(arima.fit_orders(weekly, WEEKLY, TARGET), weekly, WEEKLY, TARGET)
+    return arima.forecast(arima.best_orders(fits, ["station"]), ["station"], 8)
 
 
 @query()
@@ -309,29 +310,49 @@ def arima_holdout_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Orders fitted on the first four fifths of every series, judged on the last fifth."""
     split = chronological_split(weekly_weather(spark, folder).select(*KEYS, TARGET), WEEKLY)
     predictions = arima.forecast_holdout(
-        split.filter("is_train"), split.filter("NOT is_train"), WEEKLY, TARGET, (0, 1, 2, 3), (0, 1, 2), (0, 1, 2, 3)
-    )
+        split.filter("is_train"), split.filter("NOT is_train"), WEEKLY, TARGET,
+        p_range=(0, 1, 2, 3), d_range=(0, 1, 2), q_range=(0, 1, 2, 3),
+    )
     return ev.regression_metrics(predictions.withColumn("model", F.lit("arima")))
 
 
-@query(
-    f"""WITH {WEEKLY_SQL}, c AS (SELECT station, "Date", lag("{TARGET}", 1) {{over}} AS x, "{TARGET}" - lag("{TARGET}", 1) {{over}} AS y FROM weekly),
+_UNIT_ROOT = f"""WITH {WEEKLY_SQL}, c AS (SELECT station, "Date", lag("{TARGET}", 1) {{over}} AS x, "{TARGET}" - lag("{TARGET}", 1) {{over}} AS y FROM weekly),
 l AS (SELECT *, lag(y, 1) {{over}} AS z FROM c),
 s AS (SELECT station, count(*) AS n, var_pop(x) * count(*) AS xx, var_pop(z) * count(*) AS zz, covar_pop(x, z) * count(*) AS xz,
   covar_pop(x, y) * count(*) AS xy, covar_pop(z, y) * count(*) AS zy, var_pop(y) * count(*) AS yy
   FROM l WHERE z IS NOT NULL GROUP BY station),
 b AS (SELECT *, xx * zz - xz * xz AS det, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM s),
-t AS (SELECT station, n, bx / sqrt((yy - bx * xy - bz * zy) / (n - 3) * zz / det) AS t,
-  -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.040 / (CAST(n AS DOUBLE) * n * n) AS c5 FROM b)
-SELECT station, CAST(n AS BIGINT) AS n, {dbl('t', 'statistic')}, {dbl('c5', 'critical_5')}, t < c5 AS stationary FROM t""".replace(
-        "{over}", 'OVER (PARTITION BY station ORDER BY "Date")'
-    )
+t1 AS (SELECT *, yy - bx * xy - bz * zy AS s1, bx / sqrt((yy - bx * xy - bz * zy) / (n - 3) * zz / det) AS t1,
+  -2.86154 - 2.8903 / n - 4.234 / (n * n) - 40.040 / (CAST(n AS DOUBLE) * n * n) AS c5 FROM b)""".replace(
+    "{over}", 'OVER (PARTITION BY station ORDER BY "Date")'
 )
+
+
+@query(f"{_UNIT_ROOT} SELECT station, CAST(n AS BIGINT) AS n, {dbl('t1', 'statistic')}, {dbl('c5', 'critical_5')}, t1 < c5 AS stationary FROM t1")
 def unit_root_test(spark: SparkSession, folder: str) -> DataFrame:
     tested = arima.unit_root_test(weekly_weather(spark, folder), WEEKLY, TARGET, lags=1)
     return tested.select("station", "n", "statistic", "critical_5", "stationary")
 
 
+@query(
+    f"""{_UNIT_ROOT}, t0 AS (SELECT *, yy - xy * xy / xx AS s0 FROM t1),
+t AS (SELECT *, CASE WHEN n * ln(s0 / n) + 2 * 2 <= n * ln(s1 / n) + 2 * 3 THEN 0 ELSE 1 END AS lags FROM t0),
+u AS (SELECT *, CASE lags WHEN 0 THEN xy / xx / sqrt(s0 / (n - 2) / xx) ELSE t1 END AS v FROM t)
+SELECT station, CAST(n AS BIGINT) AS n, CAST(lags AS INTEGER) AS lags, {dbl('v', 'statistic')}, {dbl('c5', 'critical_5')}, v < c5 AS stationary FROM u"""
+)
+def unit_root_chosen_lag(spark: SparkSession, folder: str) -> DataFrame:
+    """The test with no or one previous change, whichever has the least AIC."""
+    tested = arima.unit_root_test(weekly_weather(spark, folder), WEEKLY, TARGET, lags=1, choose=True)
+    return tested.select("station", "n", "lags", "statistic", "critical_5", "stationary")
+
+
+@query()
+def unit_root_p_values(spark: SparkSession, folder: str) -> DataFrame:
+    """p-values with up to eight previous changes."""
+    tested = arima.unit_root_test(weekly_weather(spark, folder), WEEKLY, TARGET, lags=8, choose=True)
+    return tested.select("station", "n", "lags", "statistic", "p_value")
+
+
 def _split_models(spark: SparkSession, folder: str, chosen=None):
     """(models, test rows, features) trained on the first four fifths of every series."""
     wide, names = model_table(spark, folder)
@@ -398,6 +419,19 @@ def with_without_features(spark: SparkSession, folder: str) -> DataFrame:
     return ev.compare_feature_sets(*tables)
 
 
+@query()
+def occurrence_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Heavy weeks: a logistic model of the past against the two simple forecasts, the best by AUC first."""
+    split = materialize(chronological_split(past_features(spark, folder), WEEKLY))
+    heavy = F.when(F.col(TARGET) > HEAVY, 1.0).otherwise(0.0)
+    fit = logistic.fit_logistic(split.filter("is_train").withColumn("heavy", heavy), [LAG, AVERAGE], "heavy")
+    test = split.filter("NOT is_train")
+    # A chance above one half counts as a forecast of a heavy week.
+    said = F.when(fit.chance() > 0.5, HEAVY + 1).otherwise(0.0)
+    long = ev.long_predictions(test.withColumn("logistic", said), TARGET, {"logistic": "logistic", "lag_1": LAG, "ma_3": AVERAGE}, KEYS)
+    return ev.rank_models(ev.classification_metrics(ev.confusion_counts(long, HEAVY)), "auc_roc")
+
+
 @query()
 def forest_random_search(spark: SparkSession, folder: str) -> DataFrame:
     """Seeded random draws judged on contiguous folds; the trial log."""
@@ -452,6 +486,22 @@ def stream_weekly(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    f"""SELECT user_id, CAST(CAST(date_trunc('week', ts) AS DATE) + 6 AS DATE) AS "Date", {dbl('sum(value)', 'total_value')},
+  count(*) AS n, CAST(0 AS BIGINT) AS lost_rows FROM events GROUP BY 1, 2"""
+)
+def stream_all_weeks(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekly totals from events that arrive in no order, over several triggers: late rows correct their weeks, and the
+    closing pass emits every week.  ``lost_rows`` compares what arrived with what the weeks hold."""
+    path = scratch_path(spark, "late")
+    read_table(spark, folder, "events").select("event_id", "user_id", "ts", "value").repartition(4, "event_id").write.parquet(f"{path}/in")
+    stream = read_stream(spark, f"{path}/in", files_per_trigger=1)
+    sums = {"total_value": F.col("value"), "n": F.lit(1).cast("long")}
+    weekly = correcting_weeks(stream, ["user_id"], "ts", sums, f"{path}/weeks", "1 day")
+    lost = F.lit(weekly.arrived).cast("long") - weekly.weeks.agg(F.sum("n")).scalar()
+    return weekly.weeks.select("user_id", "Date", "total_value", "n").withColumn("lost_rows", lost)
+
+
 @query(
     f"""SELECT event_id, {dbl('CASE WHEN value < 5 THEN 5 WHEN value > 50 THEN 50 ELSE value END', 'value')} FROM events"""
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from seriesforge.operators.imputation import impute
 from seriesforge.plans.catalog import dbl, dbls, query
 from seriesforge.plans.inputs import WEEKLY, WEEKLY_SQL, weekly_weather
 from seriesforge.session import scratch_path
+from seriesforge.sources.ordered import read_manifest, read_range, write_ordered
 from seriesforge.sources.readers import load_and_merge, load_with_checks, read_csv, read_table, with_year
 from seriesforge.sources.writers import write_csv, write_features, write_parquet
 from seriesforge.specs import MEASURES, TARGET, TEMPERATURE, VALID_RANGES
@@ -359,6 +362,26 @@ def numeric_column_list(spark: SparkSession, folder: str) -> DataFrame:
     return report.filter("n > 0").select(F.lit("numeric").alias("kind"), "column")
 
 
+@query(
+    """WITH b AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, o_totalprice FROM orders)
+SELECT CAST(date_trunc('month', d) AS DATE) AS month, count(*) AS n, round(sum(o_totalprice) + 1e-6, 2) + 0.0 AS total,
+  CAST(0 AS BIGINT) AS files_out_of_order, (SELECT count(*) FROM b) AS manifest_rows FROM b WHERE d BETWEEN DATE '1995-03-01' AND DATE '1996-10-31'
+GROUP BY 1""",
+    digits=2,
+)
+def ordered_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders written in order, and a range of days read back by the manifest, with a count of files that overlap."""
+    path = scratch_path(spark, "ordered")
+    rows = read_table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+    write_ordered(rows, path, ["day", "o_orderkey"], rows_per_file=4000)
+    files = read_manifest(spark, path)
+    after = files.select((F.col("position") - 1).alias("position"), F.col("first").alias("next"))
+    wrong = files.join(after, "position").filter("last >= next").agg(F.count(F.lit(1))).scalar()
+    found = read_range(spark, path, [date(1995, 3, 1)], [date(1996, 10, 31)])
+    months = found.groupBy(F.trunc("day", "month").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
+    return months.withColumns({"files_out_of_order": wrong, "manifest_rows": files.agg(F.sum("rows")).scalar()})
+
+
 @query(
     f"""SELECT l_returnflag, count(*) AS all_rows, count(q) AS with_value, {dbl('avg(q)', 'mean')}
 FROM (SELECT l_returnflag, CASE WHEN l_quantity > 40 THEN NULL ELSE l_quantity END AS q FROM lineitem) GROUP BY 1"""
