@@ -225,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, rank: int
         return pa.table({"bias": [made.bias], "weights": [made.weights.tobytes()], "factors": [made.factors.tobytes()]})
 
     # The drawn rows meet in one task; their number is bounded by ``rows``.
-    row = sample.groupBy(F.lit(0)).applyInArrow(learn, "bias double, weights binary, factors binary").first()
+    row = sample.withColumn("all", F.lit(True)).groupBy("all").applyInArrow(learn, "bias double, weights binary, factors binary").first()
     return Machine(row["bias"], np.frombuffer(row["weights"], np.float32), np.frombuffer(row["factors"], np.float32).reshape(WIDTH, rank))
 
 
