@@ -4,7 +4,8 @@ Exact: donors belong to leaves around pivots, and leaves to tops.  Sizes and rad
 of the leaves bound the distance of a query's k-th neighbour (triangle inequality),
 so a query visits the leaves that can hold a neighbour, and the answer is exact.  The
 number of leaves follows the number of donors, so that what a query is compared with
-does not.  Leaves are packed into blocks of bounded size (a large leaf is cut into
+does not.  A query first meets its home leaf, whose k-th nearest donor is a close bound
+for the rest.  Leaves are packed into blocks of bounded size (a large leaf is cut into
 several); a query is sent to a block once, with the leaves it visits there.
 
 Approximate: several tables of p-stable projections, each cut into cells.  A query
@@ -31,10 +32,14 @@ from seriesforge.session import materialize
 
 CHUNK_ROWS = 20_000
 BLOCK_CELLS = 2_000_000
-LEAF_ROWS = 500
+LEAF_ROWS = 200
 #: What all pivots together may take; they are sent to every task.
 PIVOT_BYTES = 32 << 20
+#: Leaves have boxes in at most so many dimensions; in more, boxes rule out little.
+BOX_DIMENSIONS = 16
 SAMPLE_ROWS = 2_000
+#: Width of a hash cell, in distances of the k-th neighbour.
+WIDTH = 4.0
 DECIMALS = 9
 SLACK = 1e-6
 _FOUND = "query_id long, donor_id long, target double, distance double"
@@ -141,14 +146,29 @@ class PivotTree:
 
 @dataclass(frozen=True)
 class LeafTable:
-    """Per stage and leaf, over the donors of all earlier stages: how many, the farthest from the pivot, the k-th nearest."""
+    """Per stage and leaf, over the donors of all earlier stages: how many, the farthest from the pivot, the k-th nearest.
+
+    In few dimensions also the box around all donors of a leaf (low and high corners).
+    """
 
     sizes: np.ndarray
     radii: np.ndarray
     kth: np.ndarray
+    low: np.ndarray | None = None
+    high: np.ndarray | None = None
+
+    def at_least(self, asked: np.ndarray, leaves: slice, p: int) -> np.ndarray:
+        """How far each row is from the box of each leaf."""
+        total = np.zeros((len(asked), leaves.stop - leaves.start))
+        if self.low is None:
+            return total
+        for x, low, high in zip(asked.T, self.low[leaves].T, self.high[leaves].T):
+            gap = np.maximum(np.maximum(low[None, :] - x[:, None], x[:, None] - high[None, :]), 0.0)
+            total += gap if p == 1 else gap * gap
+        return total if p == 1 else np.sqrt(total)
 
     @classmethod
-    def of(cls, placed: DataFrame, leaves: int, stages: int, k: int) -> "LeafTable":
+    def of(cls, placed: DataFrame, leaves: int, stages: int, k: int, width: int) -> "LeafTable":
         shape = (stages, leaves)
         sizes, radii, kth = np.zeros(shape, np.int64), np.zeros(shape), np.full(shape, np.inf)
         inner = Window.partitionBy("leaf", "stage").orderBy("gap")
@@ -160,11 +180,23 @@ class LeafTable:
             sizes[at], radii[at] = r["n"], r["radius"]
             if r["r"] == k:
                 kth[at] = r["kth"]
-        return cls(sizes.cumsum(axis=0), np.maximum.accumulate(radii, axis=0), np.minimum.accumulate(kth, axis=0))
-
-
-def visits(tree: PivotTree, table: LeafTable, asked: np.ndarray, stage: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, leaf) of all leaves that can hold one of a row's k nearest donors of earlier stages than ``stage``."""
+        stages_ = (sizes.cumsum(axis=0), np.maximum.accumulate(radii, axis=0), np.minimum.accumulate(kth, axis=0))
+        if width > BOX_DIMENSIONS:
+            return cls(*stages_)
+        low, high = np.full((leaves, width), np.inf), np.full((leaves, width), -np.inf)
+        corners = [f(F.col("vector")[i]) for f in (F.min, F.max) for i in range(width)]
+        for r in placed.groupBy("leaf").agg(F.array(*corners).alias("corners")).collect():
+            low[r["leaf"]], high[r["leaf"]] = r["corners"][:width], r["corners"][width:]
+        return cls(*stages_, low, high)
+
+
+def visits(
+    tree: PivotTree, table: LeafTable, asked: np.ndarray, stage: int, k: int, known: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(row, leaf) of all leaves that can hold one of a row's k nearest donors of earlier stages than ``stage``.
+
+    ``known`` is a distance within which a row is known to have k donors, or infinite.
+    """
     nothing = np.zeros(0, np.int64)
     if stage < 1 or not len(asked):
         return nothing, nothing
@@ -173,10 +205,10 @@ def visits(tree: PivotTree, table: LeafTable, asked: np.ndarray, stage: int, k:
     if not sizes.any():
         return nothing, nothing
     to_tops = _reach(asked, tree.tops, tree.p)
-    bound = np.full(len(asked), np.inf)
+    bound = known.copy()
     near = to_tops.argmin(axis=1)
     for top in np.unique(near):
-        mine, own = near == top, tree.children(top)
+        mine, own = np.isinf(known) & (near == top), tree.children(top)
         bound[mine] = (_reach(asked[mine], tree.leaves[own], tree.p) + kth[own]).min(axis=1)
     lost = np.flatnonzero(np.isinf(bound))
     if len(lost):  # k donors lie within whole leaves taken by reach
@@ -197,13 +229,13 @@ def visits(tree: PivotTree, table: LeafTable, asked: np.ndarray, stage: int, k:
         if len(mine):
             gaps = _reach(asked[mine], tree.leaves[own], tree.p)
             bound[mine] = np.minimum(bound[mine], (gaps + kth[own]).min(axis=1))
-            seen.append((mine, np.arange(own.start, own.stop), gaps))
+            seen.append((mine, own, gaps))
     rows, leaves = [nothing], [nothing]
     for mine, own, gaps in seen:
-        limit = bound[mine] + SLACK * (1 + bound[mine])
-        at, leaf = np.nonzero((gaps - radii[own] <= limit[:, None]) & (sizes[own] > 0))
+        limit = (bound[mine] + SLACK * (1 + bound[mine]))[:, None]
+        at, leaf = np.nonzero((gaps - radii[own] <= limit) & (sizes[own] > 0) & (table.at_least(asked[mine], own, tree.p) <= limit))
         rows.append(mine[at])
-        leaves.append(own[leaf])
+        leaves.append(own.start + leaf)
     return np.concatenate(rows), np.concatenate(leaves)
 
 
@@ -264,36 +296,50 @@ def nearest(
         return pd.DataFrame({"leaf": leaf.astype("int32"), "gap": gap})
 
     placed = materialize(donors.withColumn("_home", home("vector")).select(*donors.columns, "_home.leaf", "_home.gap"))
-    table = LeafTable.of(placed, len(tree.leaves), head["last"] + 1, k)
+    table = LeafTable.of(placed, len(tree.leaves), head["last"] + 1, k, head["width"])
     first, pieces = _pack(table.sizes[-1], chunk_rows)
 
-    def to_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        step = max(1, BLOCK_CELLS // (len(tree.leaves) + len(tree.tops)))
-        for batch in batches:
-            for start in range(0, len(batch), step):
-                part = batch.iloc[start : start + step]
-                asked, stages = stacked(part["vector"]), part["stage"].to_numpy()
-                found = [(np.zeros(0, np.int64),) * 2]
-                for stage in np.unique(stages):
-                    mine = np.flatnonzero(stages == stage)
-                    rows, leaf = visits(tree, table, asked[mine], int(stage), k)
-                    found.append((mine[rows], leaf))
-                rows, leaf = (np.concatenate(x) for x in zip(*found))
-                # A leaf in several blocks is visited in each.
-                times = pieces[leaf]
-                block = np.repeat(first[leaf], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                rows, leaf = np.repeat(rows, times), np.repeat(leaf, times)
-                order = np.lexsort((leaf, block, rows))
-                rows, block, leaf = rows[order], block[order], leaf[order]
-                new = np.flatnonzero(np.diff(rows, prepend=-1) | np.diff(block, prepend=-1))
-                out = part.iloc[rows[new]][["query_id", "vector", "stage"]].reset_index(drop=True)
-                out["block"] = block[new].astype("int32")
-                out["leaves"] = np.split(leaf.astype("int32"), new[1:]) if len(new) else []
-                yield out
-
-    left = materialize(
-        queries.mapInPandas(to_blocks, "query_id long, vector array<double>, stage int, block int, leaves array<int>")
-    )
+    def to_blocks(choose):
+        """Rows (query, block, leaves) from what ``choose`` gives for a part of a batch: (row, leaf) pairs."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            step = max(1, BLOCK_CELLS // (len(tree.leaves) + len(tree.tops)))
+            for batch in batches:
+                for start in range(0, len(batch), step):
+                    part = batch.iloc[start : start + step]
+                    rows, leaf = choose(part, stacked(part["vector"]))
+                    # A leaf in several blocks is visited in each.
+                    times = pieces[leaf]
+                    block = np.repeat(first[leaf], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                    rows, leaf = np.repeat(rows, times), np.repeat(leaf, times)
+                    order = np.lexsort((leaf, block, rows))
+                    rows, block, leaf = rows[order], block[order], leaf[order]
+                    new = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+                    if not len(new):
+                        continue
+                    out = part.iloc[rows[new]][["query_id", "vector", "stage"]].reset_index(drop=True)
+                    out["block"] = block[new].astype("int32")
+                    out["leaves"] = np.split(leaf.astype("int32"), new[1:])
+                    yield out
+
+        return run
+
+    def at_home(part: pd.DataFrame, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.arange(len(part)), tree.home(asked)[0]
+
+    def elsewhere(part: pd.DataFrame, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        stages, known = part["stage"].to_numpy(), part["known"].fillna(np.inf).to_numpy(float)
+        home_leaf = tree.home(asked)[0]
+        found = [(np.zeros(0, np.int64),) * 2]
+        for stage in np.unique(stages):
+            mine = np.flatnonzero(stages == stage)
+            rows, leaf = visits(tree, table, asked[mine], int(stage), k, known[mine])
+            found.append((mine[rows], leaf))
+        rows, leaf = (np.concatenate(x) for x in zip(*found))
+        other = home_leaf[rows] != leaf
+        return rows[other], leaf[other]
+
+    sent = "query_id long, vector array<double>, stage int, block int, leaves array<int>"
 
     @F.pandas_udf("int")
     def block_of(leaf: pd.Series, mixed: pd.Series) -> pd.Series:
@@ -301,11 +347,19 @@ def nearest(
         return pd.Series((first[at] + mixed.to_numpy() % pieces[at]).astype("int32"))
 
     right = placed.withColumn("block", block_of("leaf", F.pmod(F.xxhash64("donor_id"), F.lit(1 << 40))))
-    left, right, task = _sliced(left, right, ["block"], chunk_rows)
-    # New attributes for one side: queries and donors may stem from the same frame.
-    left = left.select(*[F.col(c).alias(c) for c in left.columns])
-    partial = left.groupBy(*task).cogroup(right.groupBy(*task)).applyInPandas(_in_leaves(k, p, staged), _FOUND)
-    return _merge(partial, k)
+
+    def compared(choose, asked: DataFrame) -> DataFrame:
+        left = materialize(asked.mapInPandas(to_blocks(choose), sent))
+        left, donors_, task = _sliced(left, right, ["block"], chunk_rows)
+        # New attributes for one side: queries and donors may stem from the same frame.
+        left = left.select(*[F.col(c).alias(c) for c in left.columns])
+        return left.groupBy(*task).cogroup(donors_.groupBy(*task)).applyInPandas(_in_leaves(k, p, staged), _FOUND)
+
+    queries = materialize(queries)
+    near = materialize(compared(at_home, queries))
+    known = near.groupBy(F.col("query_id").alias("_id")).agg(F.get(F.sort_array(F.collect_list("distance")), F.lit(k - 1)).alias("known"))
+    bounded = queries.join(known, F.col("query_id") == F.col("_id"), "left").drop("_id")
+    return _merge(near.unionByName(compared(elsewhere, bounded)), k)
 
 
 def _sliced(left: DataFrame, right: DataFrame, task: list[str], chunk_rows: int) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -401,15 +455,22 @@ class StableHashes:
 
     @classmethod
     def fit(cls, sample: np.ndarray, n: int, k: int, p: int, tables: int, bucket_rows: int, seed: int) -> "StableHashes":
-        """Width from the distance at which a donor of ``n`` has k neighbours; as many projections as keep cells small."""
+        """Width from the distance at which nine of ten donors have k neighbours; as many projections as keep cells small.
+
+        Copies of a vector lie in one cell whatever is chosen, so they count once.
+        """
         source = np.random.default_rng(seed)
+        n = max(1, round(n * len(np.unique(sample, axis=0)) / len(sample)))
+        sample = np.unique(sample, axis=0)
         dimensions = sample.shape[1]
-        gaps = _reach(sample, sample, p)
-        apart = np.sort(gaps[np.triu_indices(len(sample), 1)]) if len(sample) > 1 else np.ones(1)
-        share = k / max(n, 1) * len(apart)
-        # Below the sample's resolution the distance shrinks with the root of the share.
-        near = apart[min(int(share), len(apart) - 1)] * min(1.0, max(share, 1e-12)) ** (1 / dimensions)
-        width = 4.0 * near if near > 0 else 1.0
+        near = 0.0
+        if len(sample) > 1:
+            rank = k * len(sample) / n  # of a donor's k-th neighbour among the sample
+            gaps = np.sort(_reach(sample, sample, p), axis=1)[:, 1:]
+            own = gaps[:, min(gaps.shape[1], max(1, int(np.ceil(rank)))) - 1]
+            # Below the sample's resolution the distance shrinks with the root of the rank.
+            near = float(np.quantile(own, 0.9)) * min(1.0, rank) ** (1 / dimensions)
+        width = WIDTH * near if near > 0 else 1.0
         draw = source.standard_normal if p == 2 else source.standard_cauchy
         most = 24
         directions, offsets = draw((tables, most, dimensions)), source.random((tables, most))
@@ -454,19 +515,20 @@ def nearest_hashed(
     k: int,
     p: int = 2,
     tables: int = 4,
-    probes: int = 8,
+    probes: int = 6,
     bucket_rows: int = 200,
     chunk_rows: int = CHUNK_ROWS,
     seed: int = 42,
 ) -> DataFrame:
     """As ``nearest``, but among the donors that share a cell of some table with the query or lie in a cell beside it.
 
-    Distances and ranks are exact for the donors found.  A cell of many donors is cut into
+    Distances and ranks are exact for the donors found, and queries that find fewer than k are
+    searched for exactly.  A cell of many donors is cut into
     pieces, and one of many queries into slices, so no task follows the size of a cell.
     """
     if p not in (1, 2):
         raise ValueError("p must be 1 or 2")
-    queries = queries.filter(complete("vector")).select("query_id", "vector")
+    queries = materialize(queries.filter(complete("vector")).select("query_id", "vector"))
     donors = materialize(donors.filter(complete("vector")).select("donor_id", "vector", "target"))
     n = donors.count()
     if not n:
@@ -497,7 +559,12 @@ def nearest_hashed(
     left, right, task = _sliced(materialize(left.drop("_pieces")), right.drop("_pieces"), ["part", "piece"], chunk_rows)
     left = left.select(*[F.col(c).alias(c) for c in left.columns])
     partial = left.groupBy(*task).cogroup(right.groupBy(*task)).applyInPandas(_in_buckets(k, p), _FOUND)
-    return _merge(partial.dropDuplicates(["query_id", "donor_id"]), k)
+    found = materialize(_merge(partial.dropDuplicates(["query_id", "donor_id"]), k))
+    enough = found.filter(F.col("rank") == min(k, n)).select("query_id")
+    lost = materialize(queries.join(enough, "query_id", "left_anti"))
+    if lost.isEmpty():
+        return found
+    return found.join(enough, "query_id", "left_semi").unionByName(nearest(lost, donors, k, p, chunk_rows=chunk_rows))
 
 
 def _in_buckets(k: int, p: int):

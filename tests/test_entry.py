@@ -13,7 +13,11 @@ from seriesforge.plans import registry
 from tests.conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-SLOW_WITHOUT_SQL = {"knn_tuning", "train_and_compare", "feature_importances", "forest_random_search", "boosting_grid_search", "end_to_end"}
+# Six models or whole searches; ``model_status`` and the tests of models cover what they run.
+SLOW_WITHOUT_SQL = {
+    "train_and_compare", "with_without_features", "feature_importances", "forest_random_search", "boosting_grid_search",
+    "end_to_end", "network_history",
+}
 
 
 @pytest.fixture(scope="module")

@@ -1,9 +1,12 @@
+import datetime as dt
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from seriesforge.operators import imputation, outliers, quality, setops
 from seriesforge.sources import readers, writers
+from seriesforge.sources.ordered import read_manifest, read_range, write_ordered
 from seriesforge.specs import MEASURES, VALID_RANGES, PreprocessSpec, SeriesSpec
 
 RANGES = {"temp": (20.0, 50.0), "humidity": (0.0, 100.0), "precipitation": (0.0, 50.0)}
@@ -252,3 +255,25 @@ def test_shared_folder_is_asked_for_on_a_cluster():
         shared_dir(cluster)
     cluster.conf = SimpleNamespace(get=lambda key, default=None: "hdfs:///shared")
     assert shared_dir(cluster) == "hdfs:///shared"
+
+
+def test_ordered_sink(spark, tmp_path):
+    """Files disjoint and ordered, rows ordered inside; a hot day spreads over files; ranges open only their files."""
+    rows = [(dt.date(2020, 1, 1) + dt.timedelta(days=0 if i % 3 else i % 50), i, float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "day date, id int, x double").repartition(5)
+    path = str(tmp_path / "o")
+    write_ordered(df, path, ["day", "id"], rows_per_file=60)
+    files = sorted(read_manifest(spark, path).collect(), key=lambda r: r["position"])
+    assert len(files) > 5 and sum(r["rows"] for r in files) == 600
+    assert all(a["last"] < b["first"] for a, b in zip(files, files[1:]))
+    everything = []
+    for r in files:
+        own = [(x["day"], x["id"]) for x in spark.read.parquet(f"{path}/rows/{r['file']}").coalesce(1).collect()]
+        assert own == sorted(own) and len(own) == r["rows"]
+        everything += own
+    assert everything == sorted((d, i) for d, i, _ in rows)
+    low, high = dt.date(2020, 1, 10), dt.date(2020, 1, 20)
+    got = sorted(x["id"] for x in read_range(spark, path, [low], [high]).collect())
+    assert got == sorted(i for d, i, _ in rows if low <= d <= high)
+    assert read_range(spark, path, [dt.date(2030, 1, 1)]).count() == 0
+    assert read_range(spark, path).count() == 600

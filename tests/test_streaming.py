@@ -55,3 +55,32 @@ def test_stream_reads_one_table_only(spark, tmp_path):
     rows = weekly.run_to_table(spark, str(tmp_path / "events.parquet"), lambda s: s).collect()
     assert len(rows) == 3 and all(r["x"] is None for r in rows)
     assert weekly.run_to_table(spark, str(tmp_path / "folder.parquet"), lambda s: s).count() == 7
+
+
+def test_late_rows_correct_their_weeks(spark, tmp_path):
+    """Rows out of order over several triggers; a restart takes up new files only; a repeated trigger changes nothing."""
+    source, path = str(tmp_path / "in"), str(tmp_path / "weeks")
+    monday = dt.datetime(2024, 1, 1)
+    sums = {"total": F.col("value"), "n": F.lit(1).cast("long")}
+
+    def add(days, k=1):
+        rows = [(k, monday + dt.timedelta(days=d), 1.0 + d) for d in days]
+        spark.createDataFrame(rows, "k int, ts timestamp, value double").coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        return weekly.correcting_weeks(weekly.read_stream(spark, source, files_per_trigger=1), ["k"], "ts", sums, path, "1 day")
+
+    add([0, 9, 20])
+    first = run()
+    assert first.arrived == 3 and first.weeks.agg(F.sum("late_rows")).first()[0] == 0
+    add([1, 2, 30], k=1)
+    add([3, 31], k=2)
+    second = run()
+    got = {(r["k"], r["Date"]): (r["total"], r["n"], r["late_rows"]) for r in second.weeks.collect()}
+    sundays = [dt.date(2024, 1, 7) + dt.timedelta(weeks=w) for w in range(5)]
+    # Days 1, 2 and 3 lie in the first week, which had ended a day before the latest time seen.
+    assert got[(1, sundays[0])] == (1 + 2 + 3, 3, 2) and got[(2, sundays[0])] == (4, 1, 1)
+    assert got[(1, sundays[1])] == (10, 1, 0) and got[(1, sundays[4])] == (31, 1, 0) and got[(2, sundays[4])] == (32, 1, 0)
+    assert second.arrived == 8 and sum(n for _, n, _ in got.values()) == 8
+    assert {r["trigger"]: r["rows"] for r in second.late.collect()} == {0: 3, 1: 3, 2: 2}
+    assert {tuple(r) for r in run().weeks.collect()} == {tuple(r) for r in second.weeks.collect()}
