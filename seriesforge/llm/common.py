@@ -47,11 +47,13 @@ def utf8(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
     """``df`` written below the shared folder and read again.
 
-    Later steps read files that outlive an executor, and no step is computed twice.
+    Later steps read files that outlive an executor, and no step is computed twice. ``group_bytes`` bounds what a task
+    holds of a table with long values before it writes them.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.option("parquet.block.size", group_bytes) if group_bytes else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
