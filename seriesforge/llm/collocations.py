@@ -55,18 +55,66 @@ def _unpack(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").ravel()
 
 
-def _rows(lang: str, bucket: np.ndarray, keys: pa.Array, counts: np.ndarray) -> Iterator[tuple]:
-    """One packed row per bucket; rows come sorted by bucket, then key."""
+class Lines:
+    """Lines of text laid end to end, each with its line break, and where they end."""
+
+    def __init__(self, raw: np.ndarray, ends: np.ndarray):
+        self.raw, self.ends = raw, ends
+
+    @classmethod
+    def of(cls, raw: bytes) -> Lines:
+        data = np.frombuffer(raw, np.uint8)
+        return cls(data, np.flatnonzero(data == 10) + 1)
+
+    @classmethod
+    def of_array(cls, values: pa.Array) -> Lines:
+        """From an array of binary values, none of them cut off its buffers."""
+        values = pa.concat_arrays([values])
+        _, offsets, data = values.buffers()
+        ends = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+        raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+        return cls(raw[ends[0] : ends[-1]], ends[1:] - ends[0])
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def array(self) -> pa.Array:
+        offsets = np.concatenate([np.zeros(1, np.int64), self.ends.astype(np.int64)])
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self), [None, pa.py_buffer(offsets), pa.py_buffer(self.raw)])
+
+    def take(self, order: np.ndarray) -> Lines:
+        return Lines.of_array(self.array().take(pa.array(order)))
+
+    def slice(self, a: int, b: int) -> bytes:
+        return self.raw[self.ends[a - 1] if a else 0 : self.ends[b - 1]].tobytes()
+
+    def before(self, mark: int) -> Lines:
+        """What stands before the one ``mark`` of each line, as lines."""
+        starts = np.concatenate([np.zeros(1, np.int64), self.ends[:-1]])
+        at = np.flatnonzero(self.raw == mark)
+        step = np.zeros(len(self.raw) + 1, np.int8)
+        step[starts] += 1
+        step[at + 1] -= 1
+        raw = self.raw[np.cumsum(step[:-1], dtype=np.int8).astype(bool)]
+        ends = np.cumsum(at + 1 - starts)
+        raw[ends - 1] = 10
+        return Lines(raw, ends)
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter((xxhash.xxh64_intdigest(x) for x in self.array().to_pylist()), np.uint64, len(self))
+
+
+def _rows(lang: str, bucket: np.ndarray, lines: Lines, counts: np.ndarray) -> Iterator[tuple]:
+    """One packed row per bucket; rows come sorted by bucket."""
     starts = np.flatnonzero(np.diff(bucket, prepend=-1))
     for a, b in zip(starts, np.append(starts[1:], len(bucket))):
-        lines = b"\n".join(keys[a:b].to_pylist())
-        size = len(lines).to_bytes(8, "little") + int(b - a).to_bytes(8, "little")
-        yield lang, int(bucket[a]), size + pa.compress(lines, codec="zstd", asbytes=True), _pack(counts[a:b])
+        text = lines.slice(a, b)
+        body = len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True)
+        yield lang, int(bucket[a]), body, _pack(counts[a:b])
 
 
-def _lines(body: bytes) -> tuple[list[bytes], int]:
-    size, n = int.from_bytes(body[:8], "little"), int.from_bytes(body[8:16], "little")
-    return pa.decompress(body[16:], decompressed_size=size, codec="zstd", asbytes=True).split(b"\n"), n
+def _unpacked(body: bytes) -> Lines:
+    return Lines.of(pa.decompress(body[8:], decompressed_size=int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True))
 
 
 def _record(rows: list[tuple]) -> pa.RecordBatch:
@@ -89,10 +137,16 @@ def count_edges(tokens: list[bytes], begins: int, lang: str, buckets: int) -> li
 
     An edge is the line ``a b<TAB>c``; ``b`` and ``c`` are empty behind the end of the piece.
     """
-    coded = pa.array(tokens, pa.binary()).dictionary_encode()
-    words = coded.dictionary
-    ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    ids[ids == pc.index(words, pa.scalar(b".", pa.binary())).as_py() + 1] = 0
+    coded = pa.array(tokens, pa.large_binary()).dictionary_encode()
+    by_text = pc.array_sort_indices(coded.dictionary)
+    words = coded.dictionary.take(by_text)
+    # Numbers follow the order of the words, so that sorted edges are sorted lines; 0 is the end.
+    number = np.empty(len(words), np.int64)
+    number[by_text.to_numpy()] = np.arange(1, len(words) + 1)
+    mark = pc.index(coded.dictionary, pa.scalar(b".", pa.large_binary())).as_py()
+    if mark >= 0:
+        number[mark] = 0
+    ids = number[coded.indices.to_numpy(zero_copy_only=False)]
     padded = np.concatenate([ids, np.zeros(2, np.int64)])
     a, b, c = padded[:begins], padded[1 : begins + 1], padded[2 : begins + 2]
     real = a > 0
@@ -105,16 +159,14 @@ def count_edges(tokens: list[bytes], begins: int, lang: str, buckets: int) -> li
     key, n = np.unique(pair_of.astype(np.int64) * width + c, return_counts=True)
     c, ab = key % width, pair[key // width]
     a, b = ab // width, ab % width
-    texts = pa.concat_arrays([pa.array([b""], pa.binary()), words])
+    texts = pa.concat_arrays([pa.array([b""], pa.large_binary()), words])
     h = np.concatenate([np.zeros(1, np.uint64), _hashes(words)])
     bucket = _spread((h[a] * _MIX ^ h[b]) * _MIX ^ h[c], buckets)
-    # Lines of a bucket sorted by words, so that neighbours share their beginnings.
-    place = np.empty(width, np.int64)
-    place[pc.array_sort_indices(texts).to_numpy()] = np.arange(width)
-    order = np.lexsort((place[c], place[b], place[a], bucket))
+    order = np.argsort(bucket.astype(np.int32), kind="stable")
     first, second, third = (texts.take(pa.array(x[order])) for x in (a, b, c))
-    lines = pc.binary_join_element_wise(pc.binary_join_element_wise(first, second, b" "), third, b"\t")
-    return list(_rows(lang, bucket[order], lines, n[order].astype(np.int64)))
+    marks = [pa.scalar(m, pa.large_binary()) for m in (b" ", b"\t", b"\n", b"")]
+    edges = pc.binary_join_element_wise(first, marks[0], second, marks[1], third, marks[2], marks[3])
+    return list(_rows(lang, bucket[order], Lines.of_array(edges), n[order].astype(np.int64)))
 
 
 def _edge_blocks(docs: DataFrame, buckets: int, block_text: int) -> DataFrame:
@@ -163,28 +215,28 @@ def _edge_blocks(docs: DataFrame, buckets: int, block_text: int) -> DataFrame:
     return docs.mapInArrow(run, _PACKED)
 
 
-def _summed(table: pa.Table) -> tuple[pa.Array, np.ndarray]:
-    """Distinct lines of packed rows, sorted, and their counts."""
-    lines: list[pa.Array] = []
-    counts: list[np.ndarray] = []
-    for body, packed in zip(table.column("body").to_pylist(), table.column("counts").to_pylist()):
-        own, n = _lines(body)
-        lines.append(pa.array(own, pa.large_binary()))
-        counts.append(_unpack(packed, n))
-    both = pa.table({"k": pa.concat_arrays(lines), "n": np.concatenate(counts)})
-    total = both.group_by("k", use_threads=False).aggregate([("n", "sum")]).sort_by("k")
-    return total.column("k").combine_chunks(), total.column("n_sum").to_numpy()
+def _total(lines: Lines, counts: np.ndarray) -> tuple[Lines, np.ndarray]:
+    """Distinct lines and their summed counts."""
+    total = pa.table({"k": lines.array(), "n": counts}).group_by("k", use_threads=False).aggregate([("n", "sum")])
+    return Lines.of_array(total.column("k").combine_chunks()), total.column("n_sum").to_numpy()
 
 
-def _split(lines: pa.Array, mark: bytes) -> list[pa.Array]:
-    halves = pc.split_pattern(lines, mark, max_splits=1)
-    return [pc.list_element(halves, 0), pc.list_element(halves, 1)]
+def _summed(table: pa.Table) -> tuple[Lines, np.ndarray]:
+    """Distinct lines of packed rows, and their counts."""
+    parts = [_unpacked(body) for body in table.column("body").to_pylist()]
+    counts = [_unpack(packed, len(own)) for packed, own in zip(table.column("counts").to_pylist(), parts)]
+    return _total(Lines.of_array(pa.concat_arrays([own.array() for own in parts])), np.concatenate(counts))
 
 
-def _parents(lines: pa.Array, counts: np.ndarray, mark: bytes) -> tuple[pa.Array, np.ndarray]:
-    """What stands before ``mark`` in sorted lines, each once, with its summed count."""
-    total = pa.table({"k": _split(lines, mark)[0], "n": counts}).group_by("k", use_threads=False).aggregate([("n", "sum")])
-    return total.column("k").combine_chunks(), total.column("n_sum").to_numpy()
+def _words_of(lines: Lines, often: np.ndarray, marks: bytes) -> list[pa.Array]:
+    """The words of the lines chosen, one array per place; ``marks`` stand between them."""
+    rows = lines.array().filter(pa.array(often)).to_pylist()
+    out = []
+    for mark in reversed(marks):
+        halves = [r.removesuffix(b"\n").rsplit(bytes([mark]), 1) for r in rows]
+        out.insert(0, pa.array([x[1] for x in halves], pa.large_binary()))
+        rows = [x[0] for x in halves]
+    return [pa.array(rows, pa.large_binary()), *out]
 
 
 _FOUND = "lang string, bucket int, body binary, counts binary, w1 string, w2 string, w3 string, n bigint"
@@ -194,7 +246,7 @@ def _found(lang: str, rows: list[tuple], words: Sequence[pa.Array], counts: np.n
     """Packed rows, then plain rows of up to three words and a count, under one schema."""
     packed = _record(rows)
     m, k = len(rows), len(counts)
-    text = [pa.concat_arrays([pa.nulls(m, pa.string()), w.cast(pa.string())]) for w in words]
+    text = [pa.concat_arrays([pa.nulls(m, pa.string()), w.cast(pa.large_string()).cast(pa.string())]) for w in words]
     text += [pa.nulls(m + k, pa.string())] * (3 - len(text))
     columns = [
         pa.array([lang] * (m + k), pa.string()),
@@ -228,26 +280,26 @@ def build(docs: DataFrame, *, least: int = 10, block_text: int = BLOCK_TEXT, buc
     def add_edges(key, table):
         lang = key[0].as_py()
         lines, counts = _summed(table)
-        flow_of, flow = _parents(lines, counts, b"\t")
-        spread = np.fromiter((xxhash.xxh64_intdigest(x) for x in flow_of.to_pylist()), np.uint64, len(flow_of))
-        bucket = _spread(spread, buckets)
-        order = np.argsort(bucket, kind="stable")
-        rows = list(_rows(lang, bucket[order], flow_of.take(pa.array(order)), flow[order]))
+        flow_of, flow = _total(lines.before(ord("\t")), counts)
+        bucket = _spread(flow_of.hashes(), buckets)
+        order = np.argsort(bucket.astype(np.int32), kind="stable")
+        rows = list(_rows(lang, bucket[order], flow_of.take(order), flow[order]))
         often = counts >= least
-        pair, third = _split(lines.filter(pa.array(often)), b"\t")
-        whole = pc.not_equal(third, pa.scalar(b"", third.type))
-        first, second = _split(pair.filter(whole), b" ")
-        return _found(lang, rows, [first, second, third.filter(whole)], counts[often][whole.to_numpy(zero_copy_only=False)])
+        words = _words_of(lines, often, b" \t")
+        whole = pc.not_equal(words[2], pa.scalar(b"", words[2].type))
+        return _found(lang, rows, [w.filter(whole) for w in words], counts[often][whole.to_numpy(zero_copy_only=False)])
 
     def add_nodes(key, table):
         lang = key[0].as_py()
         lines, counts = _summed(table)
-        flow_of, flow = _parents(lines, counts, b" ")
+        flow_of, flow = _total(lines.before(ord(" ")), counts)
         often = counts >= least
-        first, second = _split(lines.filter(pa.array(often)), b" ")
+        first, second = _words_of(lines, often, b" ")
         whole = pc.not_equal(second, pa.scalar(b"", second.type))
         kept = counts[often][whole.to_numpy(zero_copy_only=False)]
-        words = pa.concat_arrays([first.filter(whole), flow_of])
+        (alone,) = _words_of(flow_of, np.ones(len(flow_of), bool), b"")
+        alone = pa.array([w.removesuffix(b"\n") for w in alone.to_pylist()], pa.large_binary())
+        words = pa.concat_arrays([first.filter(whole), alone])
         others = pa.concat_arrays([second.filter(whole), pa.nulls(len(flow_of), second.type)])
         return _found(lang, [], [words, others], np.concatenate([kept, flow]))
 
