@@ -1,10 +1,9 @@
 """Nearest neighbours by inner product with randomly rotated one-bit codes.
 
 A vector's offset from the mean is rotated at random and kept as one bit per dimension, packed, with two scalars: the
-length of the offset and how well the bits point along it. A rotated query, cut to a
-few bit planes, meets the packed bits by AND and population count; the scalars turn the counts into an estimate of the
-inner product with a bound on its error. Only vectors whose upper bound reaches the current k-th best score are
-compared exactly.
+length of the offset and how well the bits point along it. The rotated query's products with a shard's bits, unpacked
+to signs there, are one product of matrices; the scalars turn them into estimates of the inner products with a bound on
+the error. Only vectors whose upper bound reaches the current k-th best score are compared exactly.
 
 Queries and rows meet in a grid: queries in blocks of ``QUERY_BLOCK``, rows in shards of about ``SHARD_ROWS``; each
 cell returns k rows per query, and the cells' results are merged. Every row is indexed; the mean is taken over all rows.
@@ -28,13 +27,16 @@ NEAREST = 20
 ONE_QUERY_IN = 20
 #: Width of the error bound in standard deviations of the estimate: one true neighbour in 700 may lie beyond.
 EPSILON = 3.0
-#: Bit planes of a query.
-PLANES = 6
+#: Rows of best estimate that set the score to reach, for each neighbour asked for.
+LEAD = 10
 SEED = 20
 QUERY_BLOCK = 4096
-SHARD_ROWS = 8192
-#: Queries of a block that are looked at together.
+SHARD_ROWS = 16384
+#: Queries of a block that are looked at together, and pairs compared together.
 _TILE = 128
+_PAIRS = 16384
+#: More than single precision may lose of an inner product, relative to the lengths.
+_ROUNDING = 1e-5
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -114,55 +116,61 @@ def exact(a_columns: np.ndarray, b_columns: np.ndarray, a: np.ndarray, b: np.nda
     return total
 
 
+def _signs(codes: np.ndarray, d: int) -> np.ndarray:
+    """The packed bits as -1 and 1."""
+    return np.unpackbits(codes.view(np.uint8), axis=1, count=d, bitorder="little").astype(np.float32) * 2 - 1
+
+
 class _Queries:
-    """Rotated queries as bit planes, with what their rounding may cost."""
-
-    def __init__(self, vectors: np.ndarray, mean: np.ndarray, turn: np.ndarray, planes: int = PLANES):
-        turned = vectors @ turn
-        low, high = turned.min(axis=1), turned.max(axis=1)
-        step = np.where(high > low, (high - low) / ((1 << planes) - 1), 1.0)
-        cut = np.rint((turned - low[:, None]) / step[:, None]).astype(np.int64)
-        rounded = low[:, None] + step[:, None] * cut
-        self.low, self.step, self.total = low, step, rounded.sum(axis=1)
-        self.planes = [_pack((cut >> j & 1).astype(bool)) for j in range(planes)]
-        self.lost = np.linalg.norm(turned - rounded, axis=1)
-        self.norm = np.linalg.norm(vectors, axis=1)
-        self.with_mean, self.mean_norm = vectors @ mean, np.linalg.norm(mean)
-        self.root = np.sqrt(vectors.shape[1])
+    """Rotated queries."""
+
+    def __init__(self, vectors: np.ndarray, mean: np.ndarray, turn: np.ndarray):
+        self.turned = (vectors @ turn).astype(np.float32)
+        self.norm = np.linalg.norm(vectors, axis=1).astype(np.float32)
+        self.with_mean, self.mean_norm = (vectors @ mean).astype(np.float32), np.linalg.norm(mean)
 
     def estimates(self, tile: slice, codes: np.ndarray, scalars: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
         """Estimated inner product of each query of the tile with each coded vector, and the most it can be."""
+        d = self.turned.shape[1]
         length, align = (x.astype(np.float32) for x in scalars.T)
-        ones = np.bitwise_count(codes).sum(axis=1, dtype=np.float32)
-        counts = np.zeros((self.low[tile].size, len(codes)), np.int32)
-        for j, plane in enumerate(self.planes):
-            for w in range(codes.shape[1]):
-                counts += np.multiply(np.bitwise_count(plane[tile, w][:, None] & codes[:, w]), 1 << j, dtype=np.int32)
-        per_query = lambda x: x[tile].astype(np.float32)[:, None]
-        dot = counts * per_query(2 * self.step / self.root)
-        dot += per_query(2 * self.low / self.root) * ones - per_query(self.total / self.root)
-        dot *= length / align
-        dot += per_query(self.with_mean)
-        spread = np.sqrt(np.maximum(1 - align**2, 0)) / align / np.sqrt(max(self.root**2 - 1, 1))
-        most = dot + per_query(self.norm) * (length * epsilon * spread).astype(np.float32)
-        most += per_query(self.lost) * (length / align)
-        most += per_query(self.norm) * np.float32(1e-5) * (length + np.float32(self.mean_norm))
-        return dot, most
+        dot = self.turned[tile] @ _signs(codes, d).T
+        dot *= length / (align * np.float32(np.sqrt(d)))
+        dot += self.with_mean[tile][:, None]
+        spread = np.sqrt(np.maximum(1 - align**2, 0)) / align / np.float32(np.sqrt(max(d - 1, 1)))
+        above = length * epsilon * spread + _ROUNDING * (length + self.mean_norm)
+        return dot, dot + self.norm[tile][:, None] * above.astype(np.float32)
+
+
+def _single(queries: np.ndarray, rows: np.ndarray, q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs (q, r) in single precision, some pairs at a time."""
+    out = np.empty(len(q), np.float32)
+    for a in range(0, len(q), _PAIRS):
+        some = slice(a, a + _PAIRS)
+        out[some] = np.einsum("ij,ij->i", queries[q[some]], rows[r[some]])
+    return out
 
 
 def search_cell(queries: pa.Table, rows: pa.Table, mean: np.ndarray, turn: np.ndarray, k: int, epsilon: float) -> dict[str, np.ndarray]:
     """The k nearest rows of one shard for each query of one block.
 
-    The k best estimates are compared exactly first. Their k-th best score is one that the true k-th best can't fall
-    short of, so only vectors whose upper bound reaches it follow.
+    Of ``LEAD`` times k rows of best estimate the k-th best score is one that the true k-th best can't fall short of,
+    so only vectors whose upper bound reaches it are compared with the query: in single precision first, and those
+    that its rounding leaves open exactly. Queries count with length 1 and rows relative to the longest up to there.
     """
     q_ids, q_vectors = queries.column("vec_id").to_numpy(), _matrix(queries.column("vector"))
     r_ids, r_vectors = rows.column("vec_id").to_numpy(), _matrix(rows.column("vector"))
     codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), "<u8").reshape(len(r_ids), -1)
     scalars = np.stack([rows.column(c).to_numpy() for c in ("length", "align")], axis=1)
-    coded = _Queries(q_vectors, mean, turn)
+    unit = q_vectors / np.linalg.norm(q_vectors, axis=1)[:, None]
+    r_norm = np.linalg.norm(r_vectors, axis=1)
+    longest = r_norm.max()
+    scalars[:, 0] /= longest
+    coded = _Queries(unit, mean / longest, turn)
+    q_single, r_single = unit.astype(np.float32), (r_vectors / longest).astype(np.float32)
+    slack = (_ROUNDING * r_norm / longest).astype(np.float32)
     q_columns, r_columns = np.ascontiguousarray(q_vectors.T), np.ascontiguousarray(r_vectors.T)
     own_items = len(np.unique(r_ids)) == len(r_ids)
+    leads = min(LEAD * k, len(r_ids) - 2)
     found = []
     for a in range(0, len(q_ids), _TILE):
         tile = slice(a, min(a + _TILE, len(q_ids)))
@@ -170,15 +178,15 @@ def search_cell(queries: pa.Table, rows: pa.Table, mean: np.ndarray, turn: np.nd
         estimate, most = coded.estimates(tile, codes, scalars, epsilon)
         own = q_ids[tile][:, None] == r_ids
         estimate[own] = most[own] = -np.inf
-        reach = np.full(size, -np.inf)
-        if own_items and len(r_ids) > k + 1:
-            lead = np.argpartition(-estimate, k, axis=1)[:, :k]
-            first = exact(q_columns, r_columns, np.repeat(np.arange(a, tile.stop), k), lead.ravel()).reshape(size, k)
-            reach = first.min(axis=1)
+        reach = np.full(size, -np.inf, np.float32)
+        if own_items and leads >= k:
+            lead = np.argpartition(estimate, len(r_ids) - leads, axis=1)[:, -leads:]
+            least = _single(q_single, r_single, np.repeat(np.arange(a, tile.stop), leads), lead.ravel()).reshape(size, leads) - slack[lead]
+            reach = np.partition(least, leads - k, axis=1)[:, leads - k]
         qi, ri = np.nonzero((most >= reach[:, None]) & ~own)
-        score = exact(q_columns, r_columns, a + qi, ri)
-        near = score >= reach[qi]
-        found.append((a + qi[near], r_ids[ri[near]], score[near]))
+        near = _single(q_single, r_single, a + qi, ri) + slack[ri] >= reach[qi]
+        qi, ri = qi[near], ri[near]
+        found.append((a + qi, r_ids[ri], exact(q_columns, r_columns, a + qi, ri)))
     q, r, score = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((-score, r, q))  # an item counts once, at its best
     q, r, score = q[order], r[order], score[order]
