@@ -5,6 +5,11 @@ dynamic programme finds the cheapest way to guess a value as a sequence of known
 walks and brute-force spans; a value that costs ``MIN_BITS`` or more is a secret. It judges the values that follow
 a credential word and an assignment, and adds those that patterns do not cover completely, beside the patterns' spans.
 
+A word costs the logarithm of its rank. Frequent parts of passwords come first; behind them come the words of the
+corpus by the number of documents that hold them. Credential values are left out of that count, so that a secret that
+is copied often does not become a word. Only words of ``MIN_DOCUMENTS`` documents or more count, and of those the
+``MAX_WORDS`` most frequent, of equally frequent ones the alphabetically first: the dictionary stays below a few MB.
+
 Defined results: NULL and empty texts have no spans; repeated rows are scanned alike; the cost of a value is linear
 in its length, so long values are judged whole; an empty table gives no rows; further columns are ignored.
 """
@@ -13,6 +18,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 from math import log2
 
@@ -24,6 +31,9 @@ from pyspark.sql import functions as F
 from seriesforge.llm.common import per_batch, prepare, utf8
 
 MIN_BITS = 36.0
+#: Documents that must hold a word of the dictionary, and its most words.
+MIN_DOCUMENTS = 3
+MAX_WORDS = 50_000
 KINDS = ("assign", "access", "hex", "guess")
 
 # The patterns of the contract.
@@ -65,12 +75,41 @@ def _char_bits(c: str) -> float:
 
 
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d")
-_MAX_WORD = max(map(len, WORDS))
+_MAX_WORD = 24
 _RANK = {w: i + 1 for i, w in enumerate(WORDS)}
+#: Letters that stand between other signs than those values are made of.
+_WORD = re.compile(rf"(?<![\w+/=.@$!-])[^\W\d_]{{3,{_MAX_WORD}}}(?![\w+/=@$-])")
 _LEET = str.maketrans("013457@$!", "oieastasi")
 
 
-def guess_bits(value: str) -> float:
+def words_of(text: bytes) -> set[str]:
+    """Lower-case words outside credential values."""
+    if any(h in text.lower() for h in _CONTEXT_HINTS):
+        text = _CONTEXT.sub(b" 0 ", _ASSIGN.sub(b" 0 ", text))
+    return set(_WORD.findall(text.decode("utf-8", "replace").lower()))
+
+
+def learn_words(
+    docs: DataFrame, *, text_col: str = "text", min_documents: int = MIN_DOCUMENTS, max_words: int = MAX_WORDS
+) -> dict[str, int]:
+    """Ranks of words, counted over whole texts; a batch passes each word on once."""
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter[str] = Counter()
+            for text in utf8(batch.column(0)):
+                counts.update(words_of(text))
+            if counts:
+                yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
+
+    counted = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "word string, n bigint")
+    frequent = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_documents)
+    found = [r["word"] for r in frequent.orderBy(F.desc("n"), "word").limit(max_words).select("word").collect()]
+    return {w: i + 1 for i, w in enumerate(dict.fromkeys([*WORDS, *found]))}
+
+
+def guess_bits(value: str, ranks: dict[str, int] = _RANK) -> float:
     """Least cost of guessing ``value``, in bits.
 
     best[j] is the least cost of the first j characters. From each position a segment of every kind is offered: a
@@ -110,9 +149,9 @@ def guess_bits(value: str) -> float:
         offer(i + 1, best[i] + _char_bits(value[i]) + (0.0 if i else 1.0))
         for size in range(3, min(_MAX_WORD, n - i) + 1):
             part = low[i : i + size]
-            rank = _RANK.get(part)
+            rank = ranks.get(part)
             changed = rank is None
-            rank = rank or _RANK.get(plain[i : i + size])
+            rank = rank or ranks.get(plain[i : i + size])
             if rank:
                 offer(i + size, base + log2(rank + 1) + changed + (value[i : i + size] != part))
         date = _DATE.match(value, i)
@@ -126,7 +165,7 @@ def guess_bits(value: str) -> float:
     return best[n]
 
 
-def spans_of(text: bytes, min_bits: float = MIN_BITS) -> list[tuple[int, int, str]]:
+def spans_of(text: bytes, min_bits: float = MIN_BITS, ranks: dict[str, int] = _RANK) -> list[tuple[int, int, str]]:
     """(start, end, kind) in bytes, by start and kind."""
     low = text.lower()
     found: list[tuple[int, int, str]] = []
@@ -148,7 +187,7 @@ def spans_of(text: bytes, min_bits: float = MIN_BITS) -> list[tuple[int, int, st
             before = bisect_right(begins, m.start(1))  # runs that begin at the value or before it
             if before and covered[before - 1][1] >= m.end(1):
                 continue
-            if guess_bits(m[1].decode("utf-8", "replace")) >= min_bits:
+            if guess_bits(m[1].decode("utf-8", "replace"), ranks) >= min_bits:
                 found.append((m.start(1), m.end(1), "guess"))
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[2])))
 
@@ -164,12 +203,18 @@ SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"
 _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def scan(docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", min_bits: float = MIN_BITS) -> DataFrame:
-    """One row per document: doc_id and its spans (kind, start, end in code points), by start and kind."""
+def scan(
+    docs: DataFrame, *, doc_col: str = "doc_id", text_col: str = "text", min_bits: float = MIN_BITS, words: dict[str, int] | None = None
+) -> DataFrame:
+    """One row per document: doc_id and its spans (kind, start, end in code points), by start and kind.
+
+    ``words`` (rank by word) is learnt from the texts where it is not given.
+    """
     prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(learn_words(docs, text_col=text_col) if words is None else words)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        spans = [_points(t, spans_of(t, min_bits)) for t in utf8(batch.column(1))]
+        spans = [_points(t, spans_of(t, min_bits, shared.value)) for t in utf8(batch.column(1))]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, _ARROW_SPANS)], names=["doc_id", "spans"])
 
     rows = docs.select(F.col(doc_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -180,13 +225,20 @@ MARK = "[SECRET]"
 
 
 def redact(
-    docs: DataFrame, *, text_col: str = "text", length_col: str | None = None, min_bits: float = MIN_BITS, mark: str = MARK
+    docs: DataFrame,
+    *,
+    text_col: str = "text",
+    length_col: str | None = None,
+    min_bits: float = MIN_BITS,
+    mark: str = MARK,
+    words: dict[str, int] | None = None,
 ) -> DataFrame:
     """``docs`` with every run of overlapping spans replaced by ``mark``; rows without spans stay as they are.
 
-    ``length_col`` (bigint), where given, gets the new number of code points of a changed text.
+    ``length_col`` (bigint), where given, gets the new number of code points of a changed text. ``words`` as in ``scan``.
     """
     prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(learn_words(docs, text_col=text_col) if words is None else words)
     place = docs.columns.index(text_col)
     length_at = docs.columns.index(length_col) if length_col else None
 
@@ -195,7 +247,7 @@ def redact(
         lengths = batch.column(length_at).to_pylist() if length_at is not None else None
         for row, value in enumerate(batch.column(place)):
             text = value.as_py()
-            spans = spans_of(text.encode(), min_bits) if text else []
+            spans = spans_of(text.encode(), min_bits, shared.value) if text else []
             if spans:
                 raw, out, at = text.encode(), [], 0
                 for start, end, _ in spans:

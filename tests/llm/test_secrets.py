@@ -86,3 +86,27 @@ def test_values_that_a_pattern_covers_in_part(spark, docs_of):
     assert spans[2] == [(0, 28, "assign")]  # covered completely
     out = {r["doc_id"]: r["text"] for r in S.redact(docs_of(texts)).collect()}
     assert out[0] == "[SECRET] end" and out[1] == "pwd: [SECRET] end" and out[2] == "[SECRET] end"
+
+
+PROSE = [
+    "a friendship with Friendship, and the configuration of tomorrow", "friendship needs configuration. Tomorrow?", "(friendship) configuration, tomorrow",
+    "the secret is friendship", "auth: configuration", "login = tomorrow", "login: qvxjkwzpyhg", "passphrase is qvxjkwzpyhg", "token: qvxjkwzpyhg", "auth: qvxjkwzpyhg", "rare1 word rare rare", None, "",
+]
+
+
+def test_words_of_the_corpus_are_no_secrets(spark, docs_of):
+    words = S.learn_words(docs_of(PROSE, extra=True))
+    assert list(words)[: len(S.WORDS)] == S.WORDS and list(words.values()) == list(range(1, len(words) + 1))
+    # By documents, then alphabetically; copied values of credentials are no words, nor are words of fewer documents.
+    assert list(words)[len(S.WORDS) :] == ["configuration", "friendship", "tomorrow"]
+    rows = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in S.scan(docs_of(PROSE)).collect()}
+    assert [rows[i] for i in range(3, 10)] == [[], [], [], ["guess"], ["guess"], ["guess"], ["guess"]]
+    assert {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in S.scan(docs_of(PROSE), words=S._RANK).collect()}[3] == ["guess"]
+
+
+def test_dictionary_counts_documents_and_keeps_its_bound(spark, docs_of):
+    texts = ["alpha beta", "alpha beta gamma", "alpha alpha \u00e9t\u00e9", "\u00e9t\u00e9 beta gamma", "\u00c9T\u00c9 gamma x1alpha"]
+    rest = lambda **more: [w for w in S.learn_words(docs_of(texts), **more) if w not in S.WORDS]
+    assert rest() == ["alpha", "beta", "gamma", "\u00e9t\u00e9"]
+    assert rest(max_words=2) == ["alpha", "beta"] and rest(min_documents=4) == []
+    assert list(S.learn_words(docs_of([]))) == S.WORDS
