@@ -6,7 +6,7 @@ contraction, white space before white space or the end, a last space, other last
 texts. A symbol is a transition function on eight states. Functions compose associatively, so a block of text is
 reduced to one function, the functions of all blocks are scanned, and a last pass walks all blocks side by side from
 their known first states and marks where tokens begin. Pieces between those marks are merged by rank; merged pieces
-are cached. Token ends (in bytes) are kept, so that each token's text can be found again.
+are cached. Token ends (in bytes) are kept: decoding puts each token into the slice they name and checks its size.
 
 Defined results: NULL and empty texts have no tokens and decode to nothing; repeated rows are encoded alike;
 strings that look like special tokens are ordinary text; an empty table gives no rows; further columns are kept.
@@ -34,6 +34,8 @@ CACHED_PIECES = 250_000
 #: Bytes of text taken through the scan together, or one text if that is longer.
 SCAN_BYTES = 1 << 20
 _BLOCK = 256
+#: Tokens decoded together.
+_TOGETHER = 1 << 16
 #: Longer pieces are merged with a heap.
 _LONG_PIECE = 64
 
@@ -298,18 +300,51 @@ def encode(
     return given.mapInArrow(run, T.StructType(fields))
 
 
-def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """``encoded`` with the bytes that the ids stand for in place of the ids."""
+def _put_together(ids: np.ndarray, ends: np.ndarray, vocabulary: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Each token's bytes in the slice that its offsets name."""
+    if len(ids) and (ids.min() < 0 or ids.max() >= len(sizes)):
+        raise ValueError("ids that the vocabulary lacks")
+    out = np.empty(ends[-1] if len(ends) else 0, np.uint8)
+    begins = np.concatenate(([0], ends))
+    if not np.array_equal(np.diff(begins), sizes[ids]) or not sizes[ids].all():
+        raise ValueError("token ends that do not belong to the ids")
+    for a in range(0, len(ids), _TOGETHER):
+        some = ids[a : a + _TOGETHER]
+        begin, end = begins[a : a + len(some)], begins[a + len(some)]
+        out[begin[0] : end] = vocabulary[np.repeat(starts[some] - begin, sizes[some]) + np.arange(begin[0], end)]
+    return out.tobytes()
+
+
+def decode(
+    encoded: DataFrame, ranks_path: str, *, ids_col: str = "ids", ends_col: str | None = "token_ends", bytes_col: str = "decoded"
+) -> DataFrame:
+    """``encoded`` with the bytes that the ids stand for in place of the ids and their offsets.
+
+    Every token goes to the slice between its neighbours' ends. Ends that do not belong to the ids raise.
+    ``ends_col=None``: the ends follow from the ids.
+    """
     prepare(encoded.sparkSession)
-    shared = encoded.sparkSession.sparkContext.broadcast({i: t for t, i in load_ranks(ranks_path).items()})
-    names = [c for c in encoded.columns if c not in (ids_col, bytes_col)]
+    tokens = sorted((i, t) for t, i in load_ranks(ranks_path).items())
+    sizes = np.zeros(tokens[-1][0] + 1, np.int64)
+    sizes[[i for i, _ in tokens]] = [len(t) for _, t in tokens]
+    shared = encoded.sparkSession.sparkContext.broadcast((b"".join(t for _, t in tokens), sizes))
+    names = [c for c in encoded.columns if c not in (ids_col, ends_col, bytes_col)]
+
+    def lists(column) -> tuple[np.ndarray, list[int]]:
+        return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(column.value_lengths().fill_null(0)))).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value
+        body, sizes = shared.value
+        vocabulary, starts = np.frombuffer(body, np.uint8), np.concatenate(([0], np.cumsum(sizes)))
         for batch in batches:
-            ids = batch.column(ids_col)
-            flat, cuts = ids.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(ids.value_lengths().fill_null(0)))).tolist()
-            texts = [b"".join(map(tokens.__getitem__, flat[a:b].tolist())) for a, b in zip(cuts, cuts[1:])]
+            flat, cuts = lists(batch.column(ids_col))
+            ends, end_cuts = lists(batch.column(ends_col)) if ends_col else (None, cuts)
+            if end_cuts != cuts:
+                raise ValueError("token ends that do not belong to the ids")
+            texts = []
+            for a, b in zip(cuts, cuts[1:]):
+                ids = flat[a:b]
+                texts.append(_put_together(ids, ends[a:b] if ends_col else np.cumsum(sizes[ids]), vocabulary, starts, sizes))
             yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in names} | {bytes_col: pa.array(texts, pa.binary())})
 
     fields = [encoded.schema[c] for c in names] + [T.StructField(bytes_col, T.BinaryType())]
@@ -318,11 +353,12 @@ def decode(encoded: DataFrame, ranks_path: str, *, ids_col: str = "ids", bytes_c
 
 def digest(docs: DataFrame, ranks_path: str) -> DataFrame:
     """The columns of the contract: encode, decode, and take the digests of both."""
-    encoded = encode(docs.select("doc_id", "text"), ranks_path, ends_col=None).select(
+    encoded = encode(docs.select("doc_id", "text"), ranks_path).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         "ids",
+        "token_ends",
     )
     return decode(encoded, ranks_path).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")

@@ -82,3 +82,19 @@ def test_texts_of_a_table(spark, docs_of, awkward, library, ranks):
 
 def test_empty_table(spark, docs_of):
     assert bpe.digest(docs_of([]), PATH).count() == 0
+
+
+def test_decoding_follows_the_offsets(spark, docs_of, awkward):
+    encoded = bpe.encode(docs_of(awkward), PATH)
+    want = {i: (t or "").encode() for i, t in enumerate(awkward)}
+    for given, ends in ((encoded, "token_ends"), (encoded.drop("token_ends"), None)):
+        found = bpe.decode(given, PATH, ends_col=ends)
+        assert not {"ids", "token_ends"} & set(found.columns)
+        assert {r["doc_id"]: bytes(r["decoded"]) for r in found.collect()} == want
+    vocabulary, sizes = np.frombuffer(b"abcde", np.uint8), np.array([1, 2, 2])
+    starts = np.array([0, 1, 3])
+    put = lambda ids, ends: bpe._put_together(np.array(ids, int), np.array(ends, int), vocabulary, starts, sizes)
+    assert put([1, 0, 2], [2, 3, 5]) == b"bcade" and put([], []) == b""
+    for ids, ends in (([1, 0], [1, 3]), ([1], [2, 3]), ([3], [1]), ([-1], [2])):
+        with pytest.raises(ValueError):
+            put(ids, ends)
