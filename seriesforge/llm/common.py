@@ -52,6 +52,8 @@ def per_batch(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | N
                 out = work(batch)
                 if out is not None and out.num_rows:
                     yield out
+        # Workers serve later steps as well.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
