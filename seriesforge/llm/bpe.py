@@ -30,9 +30,9 @@ from pyspark.sql import types as T
 
 from seriesforge.llm.common import prepare, utf8
 
-CACHED_PIECES = 250_000
+CACHED_PIECES = 50_000
 #: Bytes of text taken through the scan together, or one text if that is longer.
-SCAN_BYTES = 1 << 20
+SCAN_BYTES = 1 << 18
 _BLOCK = 256
 #: Tokens decoded together.
 _TOGETHER = 1 << 16
@@ -265,18 +265,19 @@ def encode(
     ids_col: str = "ids",
     ends_col: str | None = "token_ends",
     cached: int = CACHED_PIECES,
+    keep_text: bool = True,
 ) -> DataFrame:
     """``docs`` with the ids of each whole text, and with the byte offset at which each token ends.
 
     ``ranks_path`` is read by the driver; the vocabulary (a few MB) is broadcast. ``ends_col=None`` leaves the
-    offsets out.
+    offsets out, ``keep_text=False`` the text.
     """
     prepare(docs.sparkSession)
     ranks = load_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     sizes = np.zeros(max(ranks.values()) + 1, np.int64)
     sizes[list(ranks.values())] = [len(t) for t in ranks]
-    names = [c for c in docs.columns if c not in (ids_col, ends_col)]
+    names = [c for c in docs.columns if c not in (ids_col, ends_col) and (keep_text or c != text_col)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _Pieces(shared.value, cached)
@@ -353,7 +354,7 @@ def decode(
 
 def digest(docs: DataFrame, ranks_path: str) -> DataFrame:
     """The columns of the contract: encode, decode, and take the digests of both."""
-    encoded = encode(docs.select("doc_id", "text"), ranks_path).select(
+    encoded = encode(docs.select("doc_id", "text"), ranks_path, keep_text=False).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
