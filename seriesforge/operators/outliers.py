@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,42 +10,51 @@ from pyspark.sql import functions as F
 from seriesforge.operators.ordering import count_groups, join_group_table, with_scalar
 from seriesforge.operators.quality import unpivot_row
 from seriesforge.operators.statistics import percentiles
+from seriesforge.session import store
 
 MILD_REACH = 1.5
 EXTREME_REACH = 3.0
 
 
-def _with_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add ``_quartiles``: a struct with the array [q1, q3] of each column."""
-    quartiles = percentiles(df, [], columns, (0.25, 0.75))
-    fields = [F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in columns]
-    return with_scalar(df, quartiles.agg(F.struct(*fields)), "_quartiles")
+def _fences(quartiles: Column) -> dict[str, Column]:
+    """Bounds from the array [q1, q3]: mild outliers lie beyond low and high, extreme ones beyond the far bounds."""
+    q1, q3 = quartiles[0], quartiles[1]
+    out = {}
+    for prefix, reach in (("", MILD_REACH), ("far_", EXTREME_REACH)):
+        out[f"{prefix}low"], out[f"{prefix}high"] = q1 - (q3 - q1) * reach, q3 + (q3 - q1) * reach
+    return out
 
 
-def _bounds(column: str) -> tuple[Column, Column]:
-    return F.col("_quartiles")[column][0], F.col("_quartiles")[column][1]
+def _with_fences(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``_fences``: a struct with the bounds of each column.  ``df`` is evaluated once."""
+    df = store(df, "outliers")
+    quartiles = percentiles(df, [], columns, (0.25, 0.75), stored=True)
+    row = F.struct(*[f.alias(name) for name, f in _fences(F.col("q")).items()])
+    fields = [F.max(F.when(F.col("column") == c, row)).alias(c) for c in columns]
+    return with_scalar(df, quartiles.agg(F.struct(*fields)), "_fences")
 
 
-def _flag(value: Column, q1: Column, q3: Column) -> Column:
-    spread = q3 - q1
-    beyond = lambda reach: (value < q1 - spread * reach) | (value > q3 + spread * reach)
-    return F.when(beyond(EXTREME_REACH), "extreme").when(beyond(MILD_REACH), "mild").when(value.isNotNull(), "ok")
+def _flag(value: Column, fence: Callable[[str], Column]) -> Column:
+    beyond = lambda far: (value < fence(f"{far}low")) | (value > fence(f"{far}high"))
+    return F.when(beyond("far_"), "extreme").when(beyond(""), "mild").when(value.isNotNull(), "ok")
 
 
 def flag_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add ``<column>_flag``: ok, mild (beyond 1.5 IQR) or extreme (beyond 3 IQR)."""
-    flags = {f"{c}_flag": _flag(F.col(c), *_bounds(c)) for c in columns}
-    return _with_quartiles(df, columns).withColumns(flags).drop("_quartiles")
+    flags = {f"{c}_flag": _flag(F.col(c), lambda name, c=c: F.col("_fences")[c][name]) for c in columns}
+    return _with_fences(df, columns).withColumns(flags).drop("_fences")
 
 
 def flag_outliers_by_group(df: DataFrame, keys: Sequence[str], column: str, bounded: bool = True) -> DataFrame:
     """The same with quartiles per group; ``bounded`` groups fit a task each."""
+    df = df if bounded else store(df, "outliers")
     groups = count_groups(df, keys)
-    quartiles = percentiles(df, keys, [column], (0.25, 0.75), bounded, groups=groups).select(
-        *keys, F.col("q")[0].alias("_q1"), F.col("q")[1].alias("_q3")
+    quartiles = percentiles(df, keys, [column], (0.25, 0.75), bounded, groups=groups, stored=True).select(
+        *keys, *[f.alias(f"_{name}") for name, f in _fences(F.col("q")).items()]
     )
     flagged = join_group_table(df, quartiles, keys, groups)
-    return flagged.withColumn(f"{column}_flag", _flag(F.col(column), F.col("_q1"), F.col("_q3"))).drop("_q1", "_q3")
+    flag = _flag(F.col(column), lambda name: F.col(f"_{name}"))
+    return flagged.withColumn(f"{column}_flag", flag).select(*df.columns, f"{column}_flag")
 
 
 def outlier_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,8 +75,7 @@ def treat_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     keep = F.lit(True)
     capped = {}
     for c in columns:
-        q1, q3 = _bounds(c)
-        low, high = q1 - (q3 - q1) * MILD_REACH, q3 + (q3 - q1) * MILD_REACH
-        keep = keep & F.coalesce(_flag(F.col(c), q1, q3) != "extreme", F.lit(True))
-        capped[c] = F.when(F.col(c) < low, low).when(F.col(c) > high, high).otherwise(F.col(c))
-    return _with_quartiles(df, columns).filter(keep).withColumns(capped).drop("_quartiles")
+        value, fence = F.col(c), F.col("_fences")[c]
+        keep = keep & F.coalesce((value >= fence["far_low"]) & (value <= fence["far_high"]), F.lit(True))
+        capped[c] = F.when(value < fence["low"], fence["low"]).when(value > fence["high"], fence["high"]).otherwise(value)
+    return _with_fences(df, columns).filter(keep).withColumns(capped).drop("_fences")

@@ -2,10 +2,12 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from seriesforge.operators import ordering, splitting, statistics, windows
+from seriesforge.operators import ordering, outliers, splitting, statistics, windows
+from seriesforge.operators.imputation import impute
 from seriesforge.specs import Derived, SeriesSpec
 
 
@@ -224,3 +226,44 @@ def test_autocorrelation(spark, by_station):
         pacf.append(np.linalg.solve(matrix, r[1 : k + 1])[-1])
     got = [row["pacf"] for row in windows.partial_autocorrelation(df, by_station, "x", 4).orderBy("lag").collect()]
     assert got == pytest.approx(pacf)
+
+
+def test_percentiles_keep_few_values_of_large_groups(spark, monkeypatch):
+    """Only values near the wanted ranks are kept; ties, far values and a sketch that is wrong change no result."""
+    rng = np.random.default_rng(7)
+    values = np.concatenate([rng.normal(size=90_000), np.repeat(0.5, 20_000), rng.normal(size=10) * 1e12])
+    df = spark.createDataFrame(pd.DataFrame({"g": np.arange(len(values)) % 2, "x": values, "y": np.round(values)}))
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    kept = statistics._candidates(df, [], ["x"], probs, 1)
+    assert kept.count() < 1000
+    want = {(g, c): np.percentile(v[np.arange(len(v)) % 2 == g], [p * 100 for p in probs]) for g in (0, 1) for c, v in (("x", values), ("y", np.round(values)))}
+
+    def check():
+        for r in statistics.percentiles(df, ["g"], ["x", "y"], probs, cell_rows=5000).collect():
+            assert np.allclose(r["q"], want[r["g"], r["column"]], rtol=1e-12)
+
+    check()
+    monkeypatch.setattr(statistics.F, "percentile_approx", lambda c, p, accuracy: statistics.F.array(*[statistics.F.max(c)] * len(p)))
+    check()
+
+
+def test_percentile_queries_evaluate_their_input_once(spark):
+    """Describe, fences, medians and box plots write what they read several times."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame([(i % 3, float(i)) for i in range(300)], "g int, x double").mapInPandas(rows, "g int, x double")
+    for i, run in enumerate(
+        [
+            lambda: statistics.describe(df, ["x"]),
+            lambda: outliers.treat_outliers(df, ["x"]),
+            lambda: impute(df, ["x"], "median"),
+            lambda: statistics.box_plot(df, ["g"], "x"),
+        ]
+    ):
+        assert run().collect()
+        assert seen.value == 300 * (i + 1)
