@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.operators.quality import numeric_columns, unpivot_row
+from seriesforge.operators.quality import numeric_columns
 from seriesforge.specs import ESSENTIAL_FEATURES, TARGET
 
 
@@ -23,20 +23,26 @@ def pearson(x: str, y: str) -> Column:
 def target_correlations(df: DataFrame, target: str = TARGET, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature, correlation, strength) of every numeric column with the target; one aggregate."""
     columns = [c for c in (columns or numeric_columns(df)) if c != target]
-    wide = df.agg(*[pearson(c, target).alias(f"{c}_r") for c in columns])
-    long = unpivot_row(wide, columns, {"correlation": "{}_r"}, label="feature")
-    return long.withColumn("strength", F.abs("correlation"))
+    found = _pearsons(df, [(c, target) for c in columns])
+    return found.select(F.col("first").alias("feature"), "correlation", F.abs("correlation").alias("strength"))
+
+
+def _pearsons(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(first, second, correlation) of each pair of columns.
+
+    A row becomes one row per pair, so that the aggregate's code stays the same small loop
+    for any number of pairs; partial sums leave a task with one row per pair.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)])
+    sums = df.select(F.inline(cells)).groupBy("pair").agg(pearson("x", "y").alias("correlation"))
+    names = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("first"), F.lit(b).alias("second")) for i, (a, b) in enumerate(pairs)])
+    listed = df.sparkSession.range(1).select(F.inline(names))
+    return listed.join(sums, "pair", "left").select("first", "second", "correlation")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Lower triangle in long form: (first, second, correlation) per pair of columns."""
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    entries = [
-        F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"), F.col(f"r{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return wide.select(F.inline(F.array(*entries)))
+    return _pearsons(df, list(combinations(columns, 2)))
 
 
 def lag_effectiveness(df: DataFrame, base: str = TARGET, target: str = TARGET) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from seriesforge.operators import ordering, outliers, splitting, statistics, windows
 from seriesforge.operators.imputation import impute
+from seriesforge.plans.features import feature_table
 from seriesforge.specs import Derived, SeriesSpec
 
 
@@ -248,7 +249,7 @@ def test_percentiles_keep_few_values_of_large_groups(spark, monkeypatch):
 
 
 def test_percentile_queries_evaluate_their_input_once(spark):
-    """Describe, fences, medians and box plots write what they read several times."""
+    """Feature tables, describe, fences, medians and box plots write what they read several times."""
     seen = spark.sparkContext.accumulator(0)
 
     def rows(batches):
@@ -257,8 +258,12 @@ def test_percentile_queries_evaluate_their_input_once(spark):
             yield batch
 
     df = spark.createDataFrame([(i % 3, float(i)) for i in range(300)], "g int, x double").mapInPandas(rows, "g int, x double")
+    days = [(dt.date(2020, 1, 5) + dt.timedelta(weeks=i), 1, float(i % 7), float(i % 5), float(i % 3), float(i % 11)) for i in range(300)]
+    schema = "Date date, station int, Temp_avg double, Relative_Humidity double, Wind_kmh double, Precipitation_mm double"
+    series = spark.createDataFrame(days, schema).mapInPandas(rows, schema)
     for i, run in enumerate(
         [
+            lambda: feature_table(series, SeriesSpec(keys=("station",)), top_n=3).rows,
             lambda: statistics.describe(df, ["x"]),
             lambda: outliers.treat_outliers(df, ["x"]),
             lambda: impute(df, ["x"], "median"),
