@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesforge.llm.common import per_batch, prepare, utf8
+from seriesforge.llm.common import per_batch, prepare, release_memory, utf8
 
 MIN_BITS = 36.0
 #: Documents that must hold a word of the dictionary, and its most words.
@@ -102,6 +102,7 @@ def learn_words(
                 counts.update(words_of(text))
             if counts:
                 yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
+        release_memory()
 
     counted = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "word string, n bigint")
     frequent = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_documents)

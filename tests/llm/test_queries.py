@@ -3,6 +3,7 @@
 from itertools import combinations
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -107,3 +108,17 @@ def test_pipeline_of_awkward_rows(spark, docs_of, awkward):
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
     assert RANKS
+
+
+def test_pipeline_rows_come_in_small_batches(spark, docs_of, prose):
+    """What the workers of a stage hold follows a MB of rows, not all rows of a task; each stage leaves it so."""
+    docs = docs_of([prose(i, 20_000) for i in range(60)]).coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        stage(spark, docs, SF)
+        found = [r["n"] for r in docs.mapInArrow(sizes, "n bigint").collect()]
+        assert sum(found) > 4_000_000 and max(found) < 1_500_000, (name, found)
