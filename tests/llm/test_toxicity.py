@@ -129,6 +129,20 @@ def test_all_labelled_rows_teach(spark, monkeypatch):
     assert "worthless$" in model.weights
 
 
+def test_all_trigrams_and_features_are_learnt(spark, docs_of, prose):
+    """More than 64 letters cubed, and more than 20,000 features."""
+    r = random.Random(6)
+    word = lambda low, high, n: "".join(chr(r.randint(low, high)) for _ in range(n))
+    vile = " ".join(word(97, 122, 9) for _ in range(6000))
+    signs = " ".join(word(0x4E00, 0x9FA5, 8) for _ in range(40_000))
+    first = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 in (1, 2)]
+    texts = [f"{vile if i % 2 else ''} {prose(i, 20)} {signs if i == first[0] else ''}" for i in range(100)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id bigint, toxic int")
+    model = X.fit(docs_of(texts), labels)
+    assert len(model.letters.counts) > 64**3 and len(model.weights) > 20_000
+    assert {w + "$" for w in vile.split()} <= set(model.weights)
+
+
 def test_only_words_that_may_count_are_examined(monkeypatch, prose, case, awkward, scored):
     """A chunk whose words begin like no feature is neither decoded nor looked up; evidence is that of every word."""
     model = scored[0]
