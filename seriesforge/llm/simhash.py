@@ -195,12 +195,13 @@ def links(distinct: DataFrame, radius: int = RADIUS, hot: int = HOT_BUCKET) -> D
     a = probes.join(crowded, ["part", "value"], "left_anti").select("part", "value", F.col("fp").alias("fp_a"), F.col("node").alias("a"))
     b = index.select("part", "value", F.col("fp").alias("fp_b"), F.col("node").alias("b"))
     close = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= radius
-    pairs = a.join(b, ["part", "value"]).where(close & (F.col("a") != F.col("b"))).select("a", "b")
+    # Spark sizes what is exploded as if it were not, and would broadcast millions of rows of a small table.
+    pairs = a.join(b.hint("merge"), ["part", "value"]).where(close & (F.col("a") != F.col("b"))).select("a", "b")
 
     members = probes.join(crowded, ["part", "value"], "left_semi").select("fp", "node").distinct()
     near = members.select("node", F.explode(F.transform(_longs(_flips(list(range(BITS)), 1)), lambda x: F.col("fp").bitwiseXOR(x))).alias("value"))
     centres = near.groupBy("value").agg(F.min("node").alias("centre"))
-    ties = near.join(centres, "value").where(F.col("node") != F.col("centre")).select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    ties = near.join(centres.hint("merge"), "value").where(F.col("node") != F.col("centre")).select(F.col("node").alias("a"), F.col("centre").alias("b"))
     return pairs.unionByName(ties).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

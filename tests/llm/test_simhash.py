@@ -107,3 +107,16 @@ def test_keep_one(spark, docs_of, prose):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.select("doc_id").collect()) == [(False, 1), (False, 2), (True, None)]
     assert kept.where(F.col("doc_id") == 2).first()["text"] == text
+
+
+def test_exploded_rows_are_not_broadcast(spark):
+    """Keys and one-bit neighbours are many rows of a small table: both sides of their joins are shuffled."""
+    import io
+    from contextlib import redirect_stdout
+
+    distinct = spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % (1 << 63), i) for i in range(200)], "fp bigint, node bigint")
+    text = io.StringIO()
+    with redirect_stdout(text):
+        simhash.links(distinct, hot=2).explain()
+    inner = [line for line in text.getvalue().splitlines() if "Join [" in line and "Inner" in line]
+    assert len(inner) == 2 and all("SortMergeJoin" in line for line in inner)
