@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from seriesforge.llm import simhash
+from seriesforge.llm.common import stored
 from seriesforge.llm.components import smallest_reachable
 
 
@@ -114,7 +115,8 @@ def test_exploded_rows_are_not_broadcast(spark):
     import io
     from contextlib import redirect_stdout
 
-    distinct = spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % (1 << 63), i) for i in range(200)], "fp bigint, node bigint")
+    rows = spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % (1 << 63), i) for i in range(200)], "fp bigint, node bigint")
+    distinct = stored(rows, "simhash-distinct")  # of known size
     text = io.StringIO()
     with redirect_stdout(text):
         simhash.links(distinct, hot=2).explain()
